@@ -1 +1,54 @@
-"""placeholder"""
+"""Split and resampling queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import profile as P
+from tessera.operators import split as T
+from tessera.plans.catalog import query, subjects
+from tessera.plans.views import with_views
+
+W_SPLIT = with_views("split")
+
+
+@query("stratified_split", W_SPLIT + "SELECT subject_id, label, split FROM split")
+def q_split(spark, sf):
+    return T.stratified_split(subjects(spark, sf).select("subject_id", "label"))
+
+
+@query("split_balance", W_SPLIT + "SELECT split, label, count(*) AS n, "
+       "round(count(*) / sum(count(*)) OVER (PARTITION BY split), 6) AS share FROM split GROUP BY split, label")
+def q_split_balance(spark, sf):
+    s = T.stratified_split(subjects(spark, sf).select("subject_id", "label"))
+    return P.normalised_counts(s, "label", keys=["split"])
+
+
+_FOLDS_SQL = "SELECT subject_id, label, rn - quota AS train_rank, CAST((rn - quota - 1) % 5 AS INT) AS fold " \
+             "FROM split WHERE split = 'train'"
+
+
+@query("stratified_kfold", W_SPLIT + "SELECT subject_id, label, fold FROM (" + _FOLDS_SQL + ") f")
+def q_kfold(spark, sf):
+    f = T.stratified_folds(subjects(spark, sf).select("subject_id", "label"), k=5)
+    return f.select("subject_id", "label", "fold")
+
+
+@query("learning_curve_sizes", W_SPLIT.rstrip() + f", f AS ({_FOLDS_SQL}),\n"
+       "nc AS (SELECT label, count(*) AS n_c FROM f GROUP BY label),\n"
+       "g AS (SELECT CAST(a.fold AS INT) AS fold, CAST(b.step AS INT) AS step FROM range(0, 5) a(fold) CROSS JOIN range(1, 11) b(step))\n"
+       "SELECT g.fold, g.step, count(*) AS n_rows, CAST(sum(CASE WHEN f.label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos\n"
+       "FROM g JOIN f ON f.fold <> g.fold JOIN nc ON nc.label = f.label\n"
+       "WHERE f.train_rank <= floor(g.step * nc.n_c / 10) GROUP BY g.fold, g.step")
+def q_learning_sizes(spark, sf):
+    f = T.stratified_folds(subjects(spark, sf).select("subject_id", "label"), k=5)
+    class_train = T.class_counts(f, "label")
+    return T.learning_curve_sizes(f, class_train, k=5, steps=10)
+
+
+@query("explain_sample", W_SPLIT + "SELECT subject_id, label FROM split WHERE split = 'test' "
+       "ORDER BY md5(concat('42-', CAST(subject_id AS VARCHAR(20)))), subject_id LIMIT 300")
+def q_explain_sample(spark, sf):
+    s = T.stratified_split(subjects(spark, sf).select("subject_id", "label"))
+    test = s.filter(F.col("split") == "test")
+    return test.orderBy(T.order_hash("subject_id", 42), "subject_id").limit(300).select("subject_id", "label")

@@ -97,6 +97,28 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(k.alias("run_id"), "metric", "ts", value.alias("value"))
 
 
+# Grid parameters of the child runs (long, string-valued like a run tracker's params).
+RUN_PARAMS_SQL = """SELECT r.run_id, p.key, CASE p.key
+    WHEN 'classifier__n_estimators' THEN CASE WHEN r.run_id % 2 = 0 THEN '200' ELSE '300' END
+    WHEN 'classifier__learning_rate' THEN CASE WHEN r.run_id % 8 < 4 THEN '0.05' ELSE '0.1' END
+    ELSE CASE WHEN r.run_id % 16 < 8 THEN '3' ELSE '4' END END AS value
+FROM runs r CROSS JOIN (SELECT 'classifier__n_estimators' AS key UNION ALL SELECT 'classifier__learning_rate'
+  UNION ALL SELECT 'classifier__max_depth') p
+WHERE r.parent_run_id IS NOT NULL"""
+
+RUN_PARAM_KEYS = ["classifier__n_estimators", "classifier__learning_rate", "classifier__max_depth"]
+
+
+def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = runs(spark, sf_dir).filter(F.col("parent_run_id").isNotNull())
+    k = F.col("run_id")
+    x = r.select("run_id", F.explode(F.array(*[F.lit(p) for p in RUN_PARAM_KEYS])).alias("key"))
+    value = (F.when(F.col("key") == RUN_PARAM_KEYS[0], F.when(k % 2 == 0, "200").otherwise("300"))
+             .when(F.col("key") == RUN_PARAM_KEYS[1], F.when(k % 8 < 4, "0.05").otherwise("0.1"))
+             .otherwise(F.when(k % 16 < 8, "3").otherwise("4")))
+    return x.select("run_id", "key", value.alias("value"))
+
+
 def run_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey"])
     paths = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("path")) for i, p in enumerate(RUN_ARTIFACT_PATHS)])
