@@ -125,3 +125,16 @@ def run_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = s.select("s_suppkey", F.inline(paths))
     x = x.filter((F.col("i") == F.col("s_suppkey") % 6) | (F.col("i") == 5))
     return x.select(F.col("s_suppkey").alias("run_id"), "path")
+
+
+# Stand-in model registry: one version per top-level run.
+MODEL_VERSIONS_SQL = """SELECT CAST(run_id / 4 AS INT) AS version, run_id,
+  CASE WHEN run_id % 100 = 12 THEN 'Production' WHEN run_id % 8 = 0 THEN 'Archived' ELSE 'None' END AS stage
+FROM runs WHERE parent_run_id IS NULL"""
+
+
+def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = runs(spark, sf_dir).filter(F.col("parent_run_id").isNull())
+    k = F.col("run_id")
+    stage = F.when(k % 100 == 12, "Production").when(k % 8 == 0, "Archived").otherwise("None")
+    return r.select((k / 4).cast("int").alias("version"), "run_id", stage.alias("stage"))
