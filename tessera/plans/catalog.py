@@ -52,6 +52,7 @@ def load_all() -> None:
         q_eval,
         q_explain,
         q_features,
+        q_io,
         q_prep,
         q_profile,
         q_runs,

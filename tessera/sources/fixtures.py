@@ -24,10 +24,18 @@ def _case(key: Column, mapping: list[tuple[int, str]], default: str) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+
+
 def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders",
-                   ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"])
+    o = read_table(spark, sf_dir, "orders", ORDER_COLS)
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    return subjects_from(o, c)
+
+
+def subjects_from(o: DataFrame, c: DataFrame) -> DataFrame:
+    """The labelled table from an orders frame (batch or stream) and the customer table."""
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     prio = F.substring("o_orderpriority", 1, 1)

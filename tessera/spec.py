@@ -76,6 +76,9 @@ REQUEST_GROUPS = ["male", "female"]
 REQUEST_PORTS = ["C", "Q", "S"]
 REQUEST_AGE_RANGE = (0.0, 100.0)  # inclusive
 
+# Allowed group values of the labelled stand-in table (market segments).
+SUBJECT_GROUPS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 # Request defaults for optional fields.
 REQUEST_DEFAULTS = {"sibsp": 0, "parch": 0, "port": "S", "title": "Mr", "age_group": "Adult", "deck": "U"}
 
