@@ -1 +1,178 @@
-"""placeholder"""
+"""Training queries (M1-M10, S5/S6, V12, X3 batch): rows-only checks plus pytest invariants.
+
+Iteration counts are smaller than the presets (PRESETS in tessera.operators.train) so the
+catalog stays quick on the test tables; the code path is the same.
+"""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from tessera.operators import evaluate as V
+from tessera.operators import score as X
+from tessera.operators import split as T
+from tessera.operators import train as M
+from tessera.plans.catalog import features, query
+from tessera.session import new_scratch_path
+from tessera.spec import PRESET_A
+
+NUMERIC = list(PRESET_A.numeric)
+CATEGORICAL = list(PRESET_A.categorical)
+
+
+def split_frames(spark, sf):
+    fs = T.stratified_split(features(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    return fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test"), fs
+
+
+def _report(model, test, name):
+    p = M.predict(model, test, ["subject_id", "label"])
+    return V.classification_report(p.withColumn("model", F.lit(name)), ["model"])
+
+
+def fit_logistic(spark, sf, max_iter=100):
+    train, test, fs = split_frames(spark, sf)
+    n_train = train.count()
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(n_train, C=1.0, max_iter=max_iter))
+    return model, train, test
+
+
+@query("train_logistic")
+def q_train_logistic(spark, sf):
+    model, _, test = fit_logistic(spark, sf)
+    return _report(model, test, "logistic")
+
+
+@query("train_forest")
+def q_train_forest(spark, sf):
+    train, test, _ = split_frames(spark, sf)
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.forest(num_trees=30, max_depth=8, min_leaf=3))
+    return _report(model, test, "forest")
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    train, test, _ = split_frames(spark, sf)
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=30, step=0.05, max_depth=4, subsample=0.8))
+    return _report(model, test, "boosted")
+
+
+def _folds(spark, sf, k=5):
+    # the fold assignment feeds k preprocessing fits: materialise it once
+    f = T.stratified_folds(features(spark, sf), k=k).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = M.fold_frames(f, NUMERIC, CATEGORICAL, k)
+    for fd in folds:
+        fd.train.count()
+        fd.valid.count()
+    f.unpersist()
+    return folds
+
+
+GRID = [(n, lr, d) for n in (5, 10) for lr in (0.05, 0.1) for d in (2, 3)]
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    """8 combinations x 5 folds scored by macro F1; mean, population std and rank."""
+    folds = _folds(spark, sf)
+    cands = [(f"GB_n{n}_lr{lr}_d{d}", dict(n=n, lr=lr, d=d), M.boosted(max_iter=n, step=lr, max_depth=d, subsample=0.8))
+             for n, lr, d in GRID]
+    cv = M.cross_validate(spark, folds, cands, parallelism=4).persist()
+    cv.count()
+    release(folds)
+    s = M.summarise_cv(cv, "f1_macro")
+    params = spark.createDataFrame([(f"GB_n{n}_lr{lr}_d{d}", n, lr, d) for n, lr, d in GRID],
+                                   "candidate string, n_estimators int, learning_rate double, max_depth int")
+    return s.join(params, "candidate")
+
+
+def release(folds):
+    M.release(folds)
+
+
+@query("cv_compare_models")
+def q_cv_compare(spark, sf):
+    folds = _folds(spark, sf)
+    n_train = folds[0].train.count()
+    cands = [("logistic", {}, M.logistic(n_train, max_iter=100)),
+             ("forest", {}, M.forest(num_trees=20, max_depth=6)),
+             ("boosted", {}, M.boosted(max_iter=10, step=0.1, max_depth=3))]
+    cv = M.cross_validate(spark, folds, cands, parallelism=3).persist()
+    cv.count()
+    release(folds)
+    return M.summarise_cv(cv, "roc_auc")
+
+
+@query("learning_curve")
+def q_learning_curve(spark, sf, steps=10, k=5):
+    """Train and validation macro F1 for growing stratified prefixes of each fold's training rows."""
+    folds = _folds(spark, sf, k)
+    counts = {}
+    for fd in folds:
+        counts[fd.fold] = {r[0]: r[1] for r in fd.train.groupBy("label").count().collect()}
+    rows = []
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(job):
+        fd, s = job
+        nmap = F.create_map(*[F.lit(x) for kv in counts[fd.fold].items() for x in kv])
+        # the rank among the fold's training rows of the class: train_rank is global; keep the
+        # first floor(s/steps * n) of them in hash order
+        sub = fd.train.filter(F.col("train_rank") <= F.floor(F.element_at(nmap, F.col("label")) * s / steps * (k / (k - 1))))
+        n_sub = sub.count()
+        model = M.logistic(max(1, n_sub), max_iter=30).fit(sub)
+        tr = V.binary_metrics(model.transform(sub).select("label", F.col("prediction").cast("int").alias("pred")), []).first()
+        va = V.binary_metrics(model.transform(fd.valid).select("label", F.col("prediction").cast("int").alias("pred")), []).first()
+        return (s, fd.fold, n_sub, tr["f1_macro"], va["f1_macro"])
+
+    jobs = [(fd, s) for fd in folds for s in range(1, steps + 1)]
+    with ThreadPoolExecutor(max_workers=4) as ex:
+        rows = list(ex.map(run, jobs))
+    release(folds)
+    lc = spark.createDataFrame(rows, "step int, fold int, n_train long, train_f1_macro double, cv_f1_macro double")
+    return lc.groupBy("step").agg(F.round(F.avg("n_train"), 1).alias("mean_train_size"),
+                                  F.round(F.avg("train_f1_macro"), 6).alias("train_f1_macro"),
+                                  F.round(F.avg("cv_f1_macro"), 6).alias("cv_f1_macro"))
+
+
+@query("staged_loss")
+def q_staged_loss(spark, sf):
+    train, _, _ = split_frames(spark, sf)
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=20, step=0.05, max_depth=4, subsample=0.8))
+    return M.staged_loss(model, train)
+
+
+def _forest_model(spark, sf):
+    train, _, _ = split_frames(spark, sf)
+    return M.fit(train, NUMERIC, CATEGORICAL, M.forest(num_trees=30, max_depth=8, min_leaf=3))
+
+
+@query("feature_importance")
+def q_importance(spark, sf):
+    return M.importances(_forest_model(spark, sf), NUMERIC, CATEGORICAL).orderBy(F.desc("importance"), "feature")
+
+
+@query("topk_importance")
+def q_topk_importance(spark, sf):
+    imp = M.importances(_forest_model(spark, sf), NUMERIC, CATEGORICAL)
+    return imp.orderBy(F.desc("importance"), "feature").limit(15)
+
+
+@query("model_roundtrip")
+def q_roundtrip(spark, sf):
+    """Save the fitted pipeline to the shared folder, load it, score again: equal outputs."""
+    model, _, test = fit_logistic(spark, sf)
+    path = new_scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = M.predict(model, test, ["subject_id"]).withColumnRenamed("score", "p_before").drop("pred")
+    b = M.predict(loaded, test, ["subject_id"]).withColumnRenamed("score", "p_after").drop("pred")
+    return a.join(b, "subject_id").withColumn("same", F.abs(F.col("p_before") - F.col("p_after")) < 1e-12)
+
+
+@query("batch_score")
+def q_batch_score(spark, sf):
+    model, _, test = fit_logistic(spark, sf)
+    return X.score_with_model(model, test)
