@@ -197,7 +197,7 @@ def preprocessor(numeric: list[str], categorical: list[str], features_col: str =
         _ToString(inputCols=categorical, outputCols=cat_s),
         ExactImputer(inputCols=cat_s, outputCols=cat_f, strategy="mode"),
         StringIndexer(inputCols=cat_f, outputCols=cat_i, stringOrderType="alphabetAsc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=cat_i, outputCols=cat_v, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=cat_i, outputCols=cat_v, dropLast=True),
         VectorAssembler(inputCols=num_s + cat_v, outputCol=features_col),
     ]
     return Pipeline(stages=stages)
