@@ -99,8 +99,9 @@ def release(folds: list[FoldData]) -> None:
         fd.valid.unpersist()
 
 
-_AUC = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", metricName="areaUnderROC",
-                                     numBins=0)
+def _auc_evaluator() -> BinaryClassificationEvaluator:
+    return BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", metricName="areaUnderROC",
+                                         numBins=0)
 
 
 def _scores(model, df: DataFrame) -> dict:
@@ -108,7 +109,7 @@ def _scores(model, df: DataFrame) -> dict:
     out = model.transform(df).select(F.col("label").cast("double").alias("label"), "probability",
                                      F.col("prediction").cast("int").alias("pred"))
     bm = V.binary_metrics(out, []).first()
-    return {"accuracy": bm["accuracy"], "f1_macro": bm["f1_macro"], "roc_auc": _AUC.evaluate(out)}
+    return {"accuracy": bm["accuracy"], "f1_macro": bm["f1_macro"], "roc_auc": _auc_evaluator().evaluate(out)}
 
 
 def cross_validate(spark: SparkSession, folds: list[FoldData], candidates: list[tuple[str, dict, object]],

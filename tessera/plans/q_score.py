@@ -45,12 +45,13 @@ def requests(spark, sf):
                     FF.title_mapped("full_name", PRESET_A).alias("title"))
 
 
-RULES = X.default_rules(SUBJECT_GROUPS)
+def rules():
+    return X.default_rules(SUBJECT_GROUPS)
 
 
 @query("validate_rows", _w(_REQ, _VALID) + "SELECT * FROM v")
 def q_validate(spark, sf):
-    return X.valid_rows(requests(spark, sf), RULES)
+    return X.valid_rows(requests(spark, sf), rules())
 
 
 @query("rejected_rows", _w(_REQ) + "SELECT subject_id, concat_ws(',', " +
@@ -58,13 +59,13 @@ def q_validate(spark, sf):
        " + ".join(f"(CASE WHEN {c} THEN 1 ELSE 0 END)" for _, c in _RULES_SQL) + " AS INT) AS n_reasons FROM req WHERE NOT (" +
        _VALID_WHERE + ")")
 def q_rejected(spark, sf):
-    return X.rejected_rows(requests(spark, sf), RULES)
+    return X.rejected_rows(requests(spark, sf), rules())
 
 
 @query("serve_defaults", _w(_REQ, _VALID, _DEFAULTS) +
        "SELECT subject_id, sibsp, parch, port, title, family_size, is_alone, age_group, deck FROM d")
 def q_defaults(spark, sf):
-    v = X.valid_rows(requests(spark, sf), RULES)
+    v = X.valid_rows(requests(spark, sf), rules())
     d = X.apply_defaults(v, PRESET_A, mode="derive")
     return d.select("subject_id", "sibsp", "parch", "port", "title", "family_size", "is_alone", "age_group", "deck")
 
@@ -99,7 +100,7 @@ def q_stream_score(spark, sf):
         s = fixtures.subjects_from(stream.select(*fixtures.ORDER_COLS), customer)
         req = s.select("subject_id", "label", "tier", "grp", "age", "sibsp", "parch", "fare", "port",
                        FF.title_mapped("full_name", PRESET_A).alias("title"))
-        d = X.apply_defaults(X.valid_rows(req, RULES), PRESET_A, mode="derive")
+        d = X.apply_defaults(X.valid_rows(req, rules()), PRESET_A, mode="derive")
         k, lift = _STANDIN
         score = ((F.col("subject_id") * k) % (101 - lift) + lift * F.col("label")).cast("double") / 100
         return d.select("subject_id", "title", "age_group", "port", "grp", *X.verdict(score))
