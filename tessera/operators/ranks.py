@@ -53,7 +53,9 @@ def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int
 def with_quantile_buckets(df: DataFrame, cols: list[str], n_buckets: int, suffix: str = "__b") -> DataFrame:
     """Add ``<col><suffix>`` bucket ids, monotone in each column (JVM binary search)."""
     edges = quantile_edges(df, cols, n_buckets)
-    splits = [[-math.inf] + edges[c] + [math.inf] for c in cols]
+    # Bucketizer wants >= 3 splits; a column without interior edges (all null / constant)
+    # gets one neutral split, which keeps the buckets monotone
+    splits = [[-math.inf] + (edges[c] or [0.0]) + [math.inf] for c in cols]
     b = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=[c + suffix for c in cols], handleInvalid="keep")
     out = b.transform(df)
     return out.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cols})
