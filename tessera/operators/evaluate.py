@@ -105,10 +105,12 @@ def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: st
     Columns: keys, score, pos, neg, cum_pos, cum_neg (inclusive, from the top), tot_pos, tot_neg.
     """
     n_buckets = n_buckets or default_buckets(df.sparkSession)
-    d = df.groupBy(*keys, F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    d = d.withColumn("_neg_score", -F.col("score"))
-    d = with_quantile_buckets(d, ["_neg_score"], n_buckets).withColumnRenamed("_neg_score__b", "_bucket")
+    src = df.select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
+    src = with_quantile_buckets(src, ["_neg_score"], n_buckets).withColumnRenamed("_neg_score__b", "_bucket")
+    # one shuffle to distinct scores per key; checkpointed (read twice by the running totals)
+    d = src.groupBy(*keys, "_bucket", "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg")) \
+        .withColumn("score", F.when(F.col("_neg_score") == 0, F.lit(0.0)).otherwise(-F.col("_neg_score"))) \
+        .checkpoint(eager=True)
     r = running_totals(d, keys, "_bucket", [F.col("_neg_score")], ["pos", "neg"])
     return r.drop("_neg_score", "_bucket")
 

@@ -85,9 +85,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
                     n_buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy 'linear' / SQL ``quantile_cont``).
 
-    Returns long rows ``(*keys, column, p, value)``; nulls are skipped, an all-null
-    column gives a null value. Work is spread over (key, column, bucket) partitions;
-    no task ever holds a whole column.
+    Returns long rows ``(*keys, col_name, p, value)``; nulls are skipped, an all-null
+    column gives a null value. Plan: one sketch pass for bucket edges; one shuffle that
+    collapses the rows to distinct (key, column, value) counts, which is checkpointed to
+    the shared folder (built once, read twice, survives executor loss); then running
+    totals per (key, column, bucket). No task ever holds a whole column.
     """
     keys = list(keys or [])
     if n_buckets is None:
@@ -95,35 +97,29 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
     wide = with_quantile_buckets(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]), cols, n_buckets)
     pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("value"), F.col(c + "__b").alias(BUCKET))
                       for c in cols])
-    long = wide.select(*keys, F.inline(pairs)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    vc = long.groupBy(*keys, "col_name", BUCKET, "value").agg(F.count(F.lit(1)).alias("c"))
+    long = wide.select(*keys, F.inline(pairs))
+    # NaN counts as missing; a missing value stays as one zero-weight row so that an
+    # all-null column still yields its (null) result without another pass
+    value = F.when(F.isnan("value"), F.lit(None).cast("double")).otherwise(F.col("value"))
+    long = long.select(*keys, "col_name", value.alias("value"),
+                       F.when(value.isNull(), F.lit(-1)).otherwise(F.col(BUCKET)).alias(BUCKET))
+    vc = long.groupBy(*keys, "col_name", BUCKET, "value").agg(F.count("value").alias("c")).checkpoint(eager=True)
     kk = keys + ["col_name"]
     ranked = running_totals(vc, kk, BUCKET, [F.col("value")], ["c"])
-    # value occupies 0-based ranks [cum_c - c, cum_c - 1]; n = tot_c
+    # a value occupies 0-based ranks [cum_c - c, cum_c - 1]; n = tot_c
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
     n = F.col("tot_c")
-    pos = lambda p: p * (n - 1)
     lo_r, hi_r = F.col("cum_c") - F.col("c"), F.col("cum_c") - 1
-    hit = F.exists(p_arr, lambda p: ((F.floor(pos(p)) >= lo_r) & (F.floor(pos(p)) <= hi_r))
-                   | ((F.ceil(pos(p)) >= lo_r) & (F.ceil(pos(p)) <= hi_r)))
-    cand = ranked.filter(hit).select(*kk, "value", "c", "cum_c", "tot_c", F.explode(p_arr).alias("p"))
+
+    def covers(r):
+        return (r >= lo_r) & (r <= hi_r)
+    hit = F.exists(p_arr, lambda p: covers(F.floor(p * (n - 1))) | covers(F.ceil(p * (n - 1))))
+    cand = ranked.filter(hit | F.col("value").isNull()) \
+        .select(*kk, "value", "c", "cum_c", "tot_c", F.explode(p_arr).alias("p"))
     h = F.col("p") * (F.col("tot_c") - 1)
-    in_lo = (F.floor(h) >= F.col("cum_c") - F.col("c")) & (F.floor(h) <= F.col("cum_c") - 1)
-    in_hi = (F.ceil(h) >= F.col("cum_c") - F.col("c")) & (F.ceil(h) <= F.col("cum_c") - 1)
     agg = cand.groupBy(*kk, "p").agg(
-        F.max(F.when(in_lo, F.col("value"))).alias("x_lo"),
-        F.max(F.when(in_hi, F.col("value"))).alias("x_hi"),
+        F.max(F.when(covers(F.floor(h)), F.col("value"))).alias("x_lo"),
+        F.max(F.when(covers(F.ceil(h)), F.col("value"))).alias("x_hi"),
         F.max(h - F.floor(h)).alias("frac"),
     )
-    res = agg.select(*kk, "p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))
-    # all-null columns have no rows above: add them back with a null value
-    present = long.select(*kk).distinct()
-    allk = df.select(*keys).distinct() if keys else None
-    col_names = F.array(*[F.lit(c) for c in cols])
-    if allk is None:
-        grid = df.sparkSession.range(1).select(F.explode(col_names).alias("col_name"))
-    else:
-        grid = allk.select(*keys, F.explode(col_names).alias("col_name"))
-    missing = grid.join(present, on=kk, how="left_anti").select(*kk, F.explode(p_arr).alias("p"),
-                                                                F.lit(None).cast("double").alias("value"))
-    return res.unionByName(missing)
+    return agg.select(*kk, "p", (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * F.col("frac")).alias("value"))

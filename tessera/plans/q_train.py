@@ -15,7 +15,7 @@ from tessera.operators import score as X
 from tessera.operators import split as T
 from tessera.operators import train as M
 from tessera.plans.catalog import features, query
-from tessera.session import new_scratch_path
+from tessera.session import new_scratch_path, persisted
 from tessera.spec import PRESET_A
 
 NUMERIC = list(PRESET_A.numeric)
@@ -23,20 +23,25 @@ CATEGORICAL = list(PRESET_A.categorical)
 
 
 def split_frames(spark, sf):
-    fs = T.stratified_split(features(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    fs = T.stratified_split(features(spark, sf))
     return fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test"), fs
 
 
+def fit_on_split(spark, sf, classifier_fn):
+    """Fit on the training rows with the split frame kept materialised during the fit."""
+    train, test, fs = split_frames(spark, sf)
+    with persisted(fs):
+        model = M.fit(train, NUMERIC, CATEGORICAL, classifier_fn(train))
+    return model, train, test
+
+
 def _report(model, test, name):
     p = M.predict(model, test, ["subject_id", "label"])
     return V.classification_report(p.withColumn("model", F.lit(name)), ["model"])
 
 
 def fit_logistic(spark, sf, max_iter=100):
-    train, test, fs = split_frames(spark, sf)
-    n_train = train.count()
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(n_train, C=1.0, max_iter=max_iter))
-    return model, train, test
+    return fit_on_split(spark, sf, lambda train: M.logistic(train.count(), C=1.0, max_iter=max_iter))
 
 
 @query("train_logistic")
@@ -47,15 +52,13 @@ def q_train_logistic(spark, sf):
 
 @query("train_forest")
 def q_train_forest(spark, sf):
-    train, test, _ = split_frames(spark, sf)
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.forest(num_trees=30, max_depth=8, min_leaf=3))
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.forest(num_trees=30, max_depth=8, min_leaf=3))
     return _report(model, test, "forest")
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf):
-    train, test, _ = split_frames(spark, sf)
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=30, step=0.05, max_depth=4, subsample=0.8))
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.boosted(max_iter=30, step=0.05, max_depth=4, subsample=0.8))
     return _report(model, test, "boosted")
 
 
@@ -139,14 +142,12 @@ def q_learning_curve(spark, sf, steps=10, k=5):
 
 @query("staged_loss")
 def q_staged_loss(spark, sf):
-    train, _, _ = split_frames(spark, sf)
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=20, step=0.05, max_depth=4, subsample=0.8))
+    model, train, _ = fit_on_split(spark, sf, lambda _t: M.boosted(max_iter=20, step=0.05, max_depth=4, subsample=0.8))
     return M.staged_loss(model, train)
 
 
 def _forest_model(spark, sf):
-    train, _, _ = split_frames(spark, sf)
-    return M.fit(train, NUMERIC, CATEGORICAL, M.forest(num_trees=30, max_depth=8, min_leaf=3))
+    return fit_on_split(spark, sf, lambda _t: M.forest(num_trees=30, max_depth=8, min_leaf=3))[0]
 
 
 @query("feature_importance")

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -65,3 +66,21 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+class persisted:
+    """``with persisted(df) as d:`` keeps ``df`` materialised (memory, spilling to disk)
+    for the passes inside the block — e.g. the several aggregations of a pipeline fit —
+    and releases it afterwards. Lost blocks are recomputed from lineage."""
+
+    def __init__(self, df, level=None):
+        from pyspark import StorageLevel
+        self.df = df
+        self.level = level or StorageLevel.MEMORY_AND_DISK
+
+    def __enter__(self):
+        return self.df.persist(self.level)
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False
