@@ -37,15 +37,24 @@ def fit_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str,
 def mode_table(df: DataFrame, cols: list[str], keys: list[str] | None = None) -> DataFrame:
     """Most frequent non-null value per column (ties: smallest value), as rows (col_name, mode).
 
-    Counting per value is a map-side-combined aggregation; the winner per column is a
-    ``min_by`` over (-count, value), again partially aggregated: no task sees all values.
+    Columns of one type are unpivoted together, so each type is one scan: counting per
+    (column, value) is a map-side-combined aggregation, and the winner per column is a
+    ``min_by`` over (-count, value), again partially aggregated — no task sees all values.
+    Ties are broken in the column's own type order (numbers numerically).
     """
     keys = list(keys or [])
-    parts = []
+    types = dict(df.dtypes)
+    by_type: dict[str, list[str]] = {}
     for c in cols:
-        vc = df.filter(F.col(c).isNotNull()).groupBy(*keys, F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        best = vc.groupBy(*keys).agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v"))).alias("mode"))
-        parts.append(best.select(*keys, F.lit(c).alias("col_name"), F.col("mode").cast("string").alias("mode")))
+        by_type.setdefault(types[c], []).append(c)
+    parts = []
+    for _t, group in by_type.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("v")) for c in group])
+        long = df.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull())
+        vc = long.groupBy(*keys, "col_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        best = vc.groupBy(*keys, "col_name").agg(
+            F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v"))).alias("mode"))
+        parts.append(best.select(*keys, "col_name", F.col("mode").cast("string").alias("mode")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

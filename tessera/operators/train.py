@@ -167,3 +167,48 @@ def importances(model: PipelineModel, numeric: list[str], categorical: list[str]
     rows = list(zip(names[: len(vals)], [float(v) for v in vals]))
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(rows, "feature string, importance double")
+
+
+def subset_size(class_train: dict, fold: int, step: int, k: int, steps: int) -> int:
+    """Rows of the growing subset of (fold, step): per class c the training rows with
+    train_rank <= floor(step/steps * n_c) outside the validation fold, where
+    fold = (train_rank - 1) mod k. Exact, from the class counts alone."""
+    total = 0
+    for n_c in class_train.values():
+        m = (step * n_c) // steps
+        in_fold = 0 if m <= fold else (m - 1 - fold) // k + 1
+        total += m - in_fold
+    return total
+
+
+def learning_curve(spark: SparkSession, folds: list[FoldData], class_train: dict, make_clf, k: int,
+                   steps: int = 10, parallelism: int = 4, label: str = "label") -> DataFrame:
+    """Train and validation macro F1 per (step, fold) for growing stratified subsets.
+
+    The subset of a step keeps, of each class, the first floor(step/steps * n_c) training
+    rows in hash order (``train_rank``) that are not in the validation fold — the same
+    subsets as ``split.learning_curve_sizes``. Train and validation predictions of a fit
+    are scored in one aggregation.
+    """
+    nmap = F.create_map(*[F.lit(x) for kv in class_train.items() for x in kv])
+
+    def run(job):
+        fd, s = job
+        m = F.floor(F.element_at(nmap, F.col(label)) * s / steps)
+        sub = fd.train.filter(F.col("train_rank") <= m)
+        n_sub = subset_size(class_train, fd.fold, s, k, steps)
+        model = make_clf(max(1, n_sub)).fit(sub)
+        both = model.transform(sub.select(label, "features").withColumn("_part", F.lit("train"))
+                               .unionByName(fd.valid.select(label, "features").withColumn("_part", F.lit("valid"))))
+        bm = {r["_part"]: r["f1_macro"] for r in
+              V.binary_metrics(both.select("_part", label, F.col("prediction").cast("int").alias("pred")), ["_part"])
+              .collect()}
+        return (s, fd.fold, n_sub, bm.get("train"), bm.get("valid"))
+
+    jobs = [(fd, s) for fd in folds for s in range(1, steps + 1)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        rows = list(ex.map(run, jobs))
+    lc = spark.createDataFrame(rows, "step int, fold int, n_train long, train_f1_macro double, cv_f1_macro double")
+    return lc.groupBy("step").agg(F.round(F.avg("n_train"), 1).alias("mean_train_size"),
+                                  F.round(F.avg("train_f1_macro"), 6).alias("train_f1_macro"),
+                                  F.round(F.avg("cv_f1_macro"), 6).alias("cv_f1_macro"))

@@ -110,34 +110,19 @@ def q_cv_compare(spark, sf):
 
 @query("learning_curve")
 def q_learning_curve(spark, sf, steps=10, k=5):
-    """Train and validation macro F1 for growing stratified prefixes of each fold's training rows."""
-    folds = _folds(spark, sf, k)
-    counts = {}
+    """Train and validation macro F1 for growing stratified subsets of each fold's training rows."""
+    f = T.stratified_folds(features(spark, sf), k=k).persist(StorageLevel.MEMORY_AND_DISK)
+    class_train = T.class_counts(f, "label")
+    folds = M.fold_frames(f, NUMERIC, CATEGORICAL, k)
     for fd in folds:
-        counts[fd.fold] = {r[0]: r[1] for r in fd.train.groupBy("label").count().collect()}
-    rows = []
-    from concurrent.futures import ThreadPoolExecutor
-
-    def run(job):
-        fd, s = job
-        nmap = F.create_map(*[F.lit(x) for kv in counts[fd.fold].items() for x in kv])
-        # the rank among the fold's training rows of the class: train_rank is global; keep the
-        # first floor(s/steps * n) of them in hash order
-        sub = fd.train.filter(F.col("train_rank") <= F.floor(F.element_at(nmap, F.col("label")) * s / steps * (k / (k - 1))))
-        n_sub = sub.count()
-        model = M.logistic(max(1, n_sub), max_iter=30).fit(sub)
-        tr = V.binary_metrics(model.transform(sub).select("label", F.col("prediction").cast("int").alias("pred")), []).first()
-        va = V.binary_metrics(model.transform(fd.valid).select("label", F.col("prediction").cast("int").alias("pred")), []).first()
-        return (s, fd.fold, n_sub, tr["f1_macro"], va["f1_macro"])
-
-    jobs = [(fd, s) for fd in folds for s in range(1, steps + 1)]
-    with ThreadPoolExecutor(max_workers=4) as ex:
-        rows = list(ex.map(run, jobs))
+        fd.train.count()
+        fd.valid.count()
+    f.unpersist()
+    out = M.learning_curve(spark, folds, class_train, lambda n: M.logistic(n, max_iter=30), k, steps, parallelism=8)
+    out = out.persist()
+    out.count()
     release(folds)
-    lc = spark.createDataFrame(rows, "step int, fold int, n_train long, train_f1_macro double, cv_f1_macro double")
-    return lc.groupBy("step").agg(F.round(F.avg("n_train"), 1).alias("mean_train_size"),
-                                  F.round(F.avg("train_f1_macro"), 6).alias("train_f1_macro"),
-                                  F.round(F.avg("cv_f1_macro"), 6).alias("cv_f1_macro"))
+    return out
 
 
 @query("staged_loss")
