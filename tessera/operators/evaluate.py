@@ -12,15 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import running_totals, with_quantile_buckets
+from tessera.operators.ranks import parallel_buckets, running_totals, with_quantile_buckets
 
 
 def default_buckets(spark) -> int:
-    try:
-        sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        sp = 200
-    return max(8, 2 * sp)
+    return parallel_buckets(spark)
 
 
 def _ratio(a: Column, b: Column) -> Column:

@@ -31,16 +31,29 @@ def bucket_count(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET, max_buckets:
     return int(min(max_buckets, max(1, math.ceil(n_rows / max(1, target)))))
 
 
+def parallel_buckets(spark) -> int:
+    """Bucket count that follows the configured shuffle parallelism (2 per partition)."""
+    try:
+        sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except Exception:  # noqa: BLE001
+        sp = 200
+    return max(8, 2 * sp)
+
+
 def hash_bucket(hex_hash: Column, n_rows: int) -> Column:
     """Bucket from the leading hex digits of a uniform hash: monotone in the hash string."""
     digits = max(1, min(4, math.ceil(math.log(max(2, bucket_count(n_rows)), 16))))
     return F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("int")
 
 
-def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int = 10_000) -> dict[str, list[float]]:
-    """Approximate quantile edges per column (one aggregation, sketch-sized result)."""
+def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int | None = None) -> dict[str, list[float]]:
+    """Approximate quantile edges per column (one aggregation, sketch-sized result).
+
+    Edges only balance the buckets (exactness comes later), so the sketch accuracy
+    follows the bucket count."""
     if n_buckets <= 1:
         return {c: [] for c in cols}
+    accuracy = accuracy or max(1_000, 50 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in cols]).first()
     out = {}
@@ -93,7 +106,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
     """
     keys = list(keys or [])
     if n_buckets is None:
-        n_buckets = 64
+        n_buckets = parallel_buckets(df.sparkSession)
     wide = with_quantile_buckets(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]), cols, n_buckets)
     pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("value"), F.col(c + "__b").alias(BUCKET))
                       for c in cols])

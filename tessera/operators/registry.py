@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.select import existing
 from tessera.sources.runlog import search_runs
-from tessera.spec import ARTIFACT_CANDIDATES, CORE_METRICS
+from tessera.spec import ARTIFACT_CANDIDATES, CORE_METRICS, KNOWN_METRICS
 
 
 def _best_key(metric: str, id_col: str):
@@ -20,13 +21,19 @@ def _best_key(metric: str, id_col: str):
 
 
 def leaderboard(runs: DataFrame, run_metrics: DataFrame, sort_metric: str = "roc_auc",
-                core: list[str] | None = None) -> DataFrame:
-    """Top-level runs with all core metrics, sorted by ``sort_metric`` desc; ``selected`` marks the first."""
+                core: list[str] | None = None, display: dict[str, str] | None = None) -> DataFrame:
+    """Top-level runs with all core metrics, sorted by ``sort_metric`` desc; ``selected`` marks the first.
+
+    Only metric columns that exist are kept; ``display`` optionally renames columns
+    (e.g. ``{"roc_auc": "ROC-AUC"}``) after the ordering is fixed."""
     core = core or CORE_METRICS
     wide = search_runs(runs.filter(F.col("parent_run_id").isNull()), run_metrics)
-    lb = wide.dropna(subset=core).drop("parent_run_id")
+    base = existing(wide, ["run_id", "run_name", "experiment_id"])
+    metrics = existing(wide, KNOWN_METRICS)
+    lb = wide.select(*base, *metrics).dropna(subset=[c for c in core if c in metrics])
     champ = lb.agg(F.min_by("run_id", _best_key(sort_metric, "run_id"))).scalar()
-    return lb.withColumn("selected", F.col("run_id") == champ).orderBy(F.desc(sort_metric), "run_id")
+    out = lb.withColumn("selected", F.col("run_id") == champ).orderBy(F.desc(sort_metric), "run_id")
+    return out.withColumnsRenamed(display) if display else out
 
 
 def champion_gap(lb: DataFrame, metric: str = "roc_auc", digits: int = 6) -> DataFrame:

@@ -53,6 +53,9 @@ PRESETS = {
     "forest": dict(num_trees=200, max_depth=15, min_leaf=3),
     "boosted": dict(max_iter=300, step=0.05, max_depth=4, subsample=0.8),
     "boosted_tuned": dict(max_iter=200, step=0.1, max_depth=3, subsample=0.8),
+    # dashboard variants: 100-tree forest and 100-round boosted trees
+    "forest_dashboard": dict(num_trees=100, max_depth=15, min_leaf=3),
+    "boosted_dashboard": dict(max_iter=100, step=0.1, max_depth=3, subsample=1.0),
 }
 
 
