@@ -27,11 +27,11 @@ from tessera.operators.prep import encoded_names, preprocessor
 
 # Classifier factories with the modelled project's parameter meaning -------------------
 
-def logistic(n_train: int, C: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
+def logistic(n_train: int, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4) -> LogisticRegression:
     """L2 logistic regression. The modelled objective is 1/2|w|^2 + C * sum(loss); Spark
     minimises mean(loss) + lambda/2 |w|^2, so lambda = 1 / (C * n_train)."""
     return LogisticRegression(regParam=1.0 / (C * max(1, n_train)), elasticNetParam=0.0, standardization=False,
-                              maxIter=max_iter, tol=1e-6, featuresCol="features", labelCol="label")
+                              maxIter=max_iter, tol=tol, featuresCol="features", labelCol="label")
 
 
 def forest(num_trees: int = 200, max_depth: int = 15, min_leaf: int = 3, seed: int = 42) -> RandomForestClassifier:
