@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ranks import hash_bucket, running_totals
@@ -48,18 +48,48 @@ def with_class_rank(df: DataFrame, id_col: str, label: str, seed: int, n_rows: i
     return r.withColumnRenamed("cum__one", rank_col).drop("tot__one", "_one", "_bucket")
 
 
+SPLIT_HEX_DIGITS = 4  # 65536 hash buckets per class
+
+
 def stratified_split(df: DataFrame, id_col: str = "subject_id", label: str = "label", test_frac: float = 0.2,
                      seed: int = 42, split_col: str = "split", keep_rank: bool = False) -> DataFrame:
-    """Add ``split`` = 'test' | 'train' with exact per-class quotas."""
+    """Add ``split`` = 'test' | 'train' with exact per-class quotas.
+
+    Rows are bucketed by the leading hex digits of their order hash. One scan builds the
+    (class, bucket) count table — tiny, checkpointed — which also gives the class counts
+    and quotas. A bucket that ends before its class quota is all test, one that starts
+    after it is all train; only the single boundary bucket per class is ranked row by
+    row. ``keep_rank=True`` ranks every row (needed for folds).
+    """
+    if keep_rank:
+        return _split_with_ranks(df, id_col, label, test_frac, seed, split_col)
+    h = df.withColumn(HASH, order_hash(id_col, seed))
+    h = h.withColumn("_bucket", F.conv(F.substring(HASH, 1, SPLIT_HEX_DIGITS), 16, 10).cast("int"))
+    small = h.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_bn")).checkpoint(eager=True)
+    counts = {r[0]: r[1] for r in small.groupBy(label).agg(F.sum("_bn")).collect()}
+    quotas = class_quotas(counts, test_frac)
+    qmap = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
+    q = F.element_at(qmap, F.col(label))
+    w = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offs = small.select(label, "_bucket", "_bn", F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_off"))
+    offs = offs.withColumn("_state", F.when(F.col("_off") + F.col("_bn") <= q, F.lit("test"))
+                           .when(F.col("_off") >= q, F.lit("train")).otherwise(F.lit("boundary")))
+    j = h.join(offs.select(label, "_bucket", "_off", "_state"), on=[label, "_bucket"], how="inner")
+    decided = j.filter(F.col("_state") != "boundary").withColumn(split_col, F.col("_state"))
+    wb = Window.partitionBy(label, "_bucket").orderBy(HASH, id_col)
+    bnd = j.filter(F.col("_state") == "boundary").withColumn(
+        split_col, F.when(F.col("_off") + F.row_number().over(wb) <= q, F.lit("test")).otherwise(F.lit("train")))
+    return decided.unionByName(bnd).select(*df.columns, split_col)
+
+
+def _split_with_ranks(df, id_col, label, test_frac, seed, split_col):
     counts = class_counts(df, label)
     quotas = class_quotas(counts, test_frac)
     qmap = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
     r = with_class_rank(df, id_col, label, seed, sum(counts.values()))
     q = F.element_at(qmap, F.col(label))
     out = r.withColumn(split_col, F.when(F.col("rank_in_class") <= q, F.lit("test")).otherwise(F.lit("train")))
-    if keep_rank:
-        return out.withColumn("quota", q.cast("bigint"))
-    return out.drop("rank_in_class", HASH)
+    return out.withColumn("quota", q.cast("bigint"))
 
 
 def stratified_folds(df: DataFrame, k: int = 5, id_col: str = "subject_id", label: str = "label",
