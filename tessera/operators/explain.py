@@ -31,6 +31,27 @@ def linear_attributions(df: DataFrame, id_col: str, weights: dict[str, float], m
     return df.select(id_col, F.inline(F.array(*recs)))
 
 
+def logistic_attributions(df: DataFrame, id_col: str, features_col: str, lr_model, train_vectors: DataFrame,
+                          names: list[str]) -> DataFrame:
+    """Attributions of a fitted logistic model over its input vector:
+    coef_j * (x_j - mean_j), with the means of the training vectors (one distributed
+    ``Summarizer`` pass, a model-sized result). base = intercept + coef . mean, so
+    base + sum(attributions) = the model's raw margin. Array arithmetic stays in the JVM."""
+    from pyspark.ml.stat import Summarizer
+    mean = train_vectors.select(Summarizer.mean(F.col(features_col)).alias("m")).first()["m"].toArray().tolist()
+    coef = lr_model.coefficients.toArray().tolist()
+    base = float(lr_model.intercept + sum(c * m for c, m in zip(coef, mean)))
+    mu = F.array(*[F.lit(float(m)) for m in mean])
+    w = F.array(*[F.lit(float(c)) for c in coef])
+    x = vector_to_array(features_col)
+    contrib = F.zip_with(F.zip_with(x, mu, lambda a, b: a - b), w, lambda d, c: d * c)
+    name_arr = F.array(*[F.lit(n) for n in names])
+    margin = F.aggregate(F.zip_with(x, w, lambda a, c: a * c), F.lit(float(lr_model.intercept)), lambda acc, v: acc + v)
+    return df.select(id_col, margin.alias("margin"), F.posexplode(contrib).alias("pos", "attribution")) \
+        .select(id_col, F.element_at(name_arr, F.col("pos") + 1).alias("feature"), "attribution",
+                F.lit(base).alias("base"), "margin")
+
+
 # Trees -------------------------------------------------------------------------------
 
 def tree_tables(spark: SparkSession, ensemble_model) -> tuple[dict, list[float]]:

@@ -88,3 +88,17 @@ def q_attr_trees(spark, sf):
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
     return H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)
+
+
+@query("attribution_logistic")
+def q_attr_logistic(spark, sf):
+    """Attributions of a fitted logistic model for every hold-out row."""
+    fs = T.stratified_split(features(spark, sf))
+    train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
+    with persisted(fs):
+        model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(train.count(), C=1.0, max_iter=100))
+        prep = PipelineModel(stages=model.stages[:-1])
+        names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
+        out = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1],
+                                      prep.transform(train), names)
+    return out

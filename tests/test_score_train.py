@@ -62,3 +62,12 @@ def test_tree_attribution_margin_matches_model(spark):
     raw = model.stages[-1].transform(test).select("subject_id", vector_to_array("rawPrediction")[1].alias("r"))
     j = margins.join(raw, "subject_id")
     assert j.count() > 0 and j.filter(F.abs(F.col("m") - F.col("r")) > 1e-9).count() == 0
+
+
+def test_logistic_attribution_invariant(spark):
+    import __spark_entry__ as entry
+    attr = entry.queries()["attribution_logistic"](spark, "/root/testdata/sf0.001")
+    chk = attr.groupBy("subject_id").agg(F.sum("attribution").alias("s"), F.first("base").alias("b"),
+                                         F.first("margin").alias("m"))
+    assert chk.count() > 0
+    assert chk.filter(F.abs(F.col("b") + F.col("s") - F.col("m")) > 1e-9).count() == 0
