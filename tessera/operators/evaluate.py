@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ranks import parallel_buckets, running_totals, with_quantile_buckets
+from tessera.session import checkpointed
 
 
 def default_buckets(spark) -> int:
@@ -104,9 +105,9 @@ def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: st
     src = df.select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
     src = with_quantile_buckets(src, ["_neg_score"], n_buckets).withColumnRenamed("_neg_score__b", "_bucket")
     # one shuffle to distinct scores per key; checkpointed (read twice by the running totals)
-    d = src.groupBy(*keys, "_bucket", "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg")) \
-        .withColumn("score", F.when(F.col("_neg_score") == 0, F.lit(0.0)).otherwise(-F.col("_neg_score"))) \
-        .checkpoint(eager=True)
+    d = checkpointed(
+        src.groupBy(*keys, "_bucket", "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+        .withColumn("score", F.when(F.col("_neg_score") == 0, F.lit(0.0)).otherwise(-F.col("_neg_score"))))
     r = running_totals(d, keys, "_bucket", [F.col("_neg_score")], ["pos", "neg"])
     return r.drop("_neg_score", "_bucket")
 

@@ -21,6 +21,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from tessera.session import checkpointed
 
 BUCKET = "_bucket"
 TARGET_ROWS_PER_BUCKET = 200_000
@@ -116,7 +117,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
     value = F.when(F.isnan("value"), F.lit(None).cast("double")).otherwise(F.col("value"))
     long = long.select(*keys, "col_name", value.alias("value"),
                        F.when(value.isNull(), F.lit(-1)).otherwise(F.col(BUCKET)).alias(BUCKET))
-    vc = long.groupBy(*keys, "col_name", BUCKET, "value").agg(F.count("value").alias("c")).checkpoint(eager=True)
+    vc = checkpointed(long.groupBy(*keys, "col_name", BUCKET, "value").agg(F.count("value").alias("c")))
     kk = keys + ["col_name"]
     ranked = running_totals(vc, kk, BUCKET, [F.col("value")], ["c"])
     # a value occupies 0-based ranks [cum_c - c, cum_c - 1]; n = tot_c

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ranks import hash_bucket, running_totals
+from tessera.session import checkpointed
 
 HASH = "_h"
 
@@ -65,7 +66,7 @@ def stratified_split(df: DataFrame, id_col: str = "subject_id", label: str = "la
         return _split_with_ranks(df, id_col, label, test_frac, seed, split_col)
     h = df.withColumn(HASH, order_hash(id_col, seed))
     h = h.withColumn("_bucket", F.conv(F.substring(HASH, 1, SPLIT_HEX_DIGITS), 16, 10).cast("int"))
-    small = h.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_bn")).checkpoint(eager=True)
+    small = checkpointed(h.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_bn")))
     counts = {r[0]: r[1] for r in small.groupBy(label).agg(F.sum("_bn")).collect()}
     quotas = class_quotas(counts, test_frac)
     qmap = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])

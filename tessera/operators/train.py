@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as V
 from tessera.operators.prep import encoded_names, preprocessor
+from tessera.session import scratch_dir
 
 
 # Classifier factories with the modelled project's parameter meaning -------------------
@@ -61,6 +62,7 @@ PRESETS = {
 
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], classifier) -> PipelineModel:
     """Preprocessing + classifier as one fitted unit (persistable)."""
+    scratch_dir(train.sparkSession)  # GBT checkpoints its lineage there
     stages = preprocessor(numeric, categorical).getStages() + [classifier]
     return Pipeline(stages=stages).fit(train)
 

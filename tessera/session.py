@@ -85,3 +85,11 @@ class persisted:
     def __exit__(self, *exc):
         self.df.unpersist()
         return False
+
+
+def checkpointed(df):
+    """Reliable checkpoint into the session's shared checkpoint folder (cuts lineage,
+    survives executor loss). Resolves the folder first, so it also works in a session
+    built without one."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
