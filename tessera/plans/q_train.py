@@ -82,7 +82,7 @@ def q_grid_search(spark, sf):
     folds = _folds(spark, sf)
     cands = [(f"GB_n{n}_lr{lr}_d{d}", dict(n=n, lr=lr, d=d), M.boosted(max_iter=n, step=lr, max_depth=d, subsample=0.8))
              for n, lr, d in GRID]
-    cv = M.cross_validate(spark, folds, cands, parallelism=4).persist()
+    cv = M.cross_validate(spark, folds, cands, parallelism=8).persist()
     cv.count()
     release(folds)
     s = M.summarise_cv(cv, "f1_macro")
@@ -102,7 +102,7 @@ def q_cv_compare(spark, sf):
     cands = [("logistic", {}, M.logistic(n_train, max_iter=100)),
              ("forest", {}, M.forest(num_trees=20, max_depth=6)),
              ("boosted", {}, M.boosted(max_iter=10, step=0.1, max_depth=3))]
-    cv = M.cross_validate(spark, folds, cands, parallelism=3).persist()
+    cv = M.cross_validate(spark, folds, cands, parallelism=8).persist()
     cv.count()
     release(folds)
     return M.summarise_cv(cv, "roc_auc")
