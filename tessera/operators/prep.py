@@ -15,7 +15,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ranks import exact_quantiles
@@ -232,8 +232,3 @@ def encoded_names(prep_model, numeric: list[str], categorical: list[str]) -> lis
     for c, labels in zip(categorical, si.labelsArray):
         names += [f"{c}_{v}" for v in labels]
     return names
-
-
-def rank_window_small(df: DataFrame, order_cols: list, out: str = "position") -> DataFrame:
-    """Row number over a *small* (metadata-sized) frame."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order_cols)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,15 +59,6 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that want a plain path (tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
-
-
 class persisted:
     """``with persisted(df) as d:`` keeps ``df`` materialised (memory, spilling to disk)
     for the passes inside the block — e.g. the several aggregations of a pipeline fit —

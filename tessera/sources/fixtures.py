@@ -2,7 +2,7 @@
 
 ``subjects`` is the labelled table (orders joined to customer), ``scored`` the evaluation
 input of three stand-in models, and ``runs`` / ``run_metrics`` / ``run_artifacts`` the run
-log. Their SQL twins live in :mod:`tessera.plans.oracle`; both give equal rows.
+log. Their SQL twins live in :mod:`tessera.plans.views`; both give equal rows.
 
 Scale notes: ``subjects`` is a shuffle (sort-merge) join on the customer key, left to AQE,
 whose skew-join split handles a customer that owns a large share of the orders. The

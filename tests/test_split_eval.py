@@ -1,5 +1,4 @@
 import pandas as pd
-from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as V
 from tessera.operators import split as T
