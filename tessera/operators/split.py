@@ -26,6 +26,8 @@ def order_hash(id_col: str, seed: int) -> Column:
 
 def class_quotas(counts: dict, test_frac: float) -> dict:
     """Largest-remainder allocation of ceil(test_frac * n) test rows over classes."""
+    if None in counts:
+        raise ValueError("stratified split: the label has nulls; drop or fill them first")
     n = sum(counts.values())
     n_test = int(math.ceil(float(n) * test_frac))
     base = {k: (c * n_test) // n for k, c in counts.items()}

@@ -8,6 +8,12 @@ def test_quota_golden_891():
     assert T.class_quotas({0: 549, 1: 342}, 0.2) == {0: 110, 1: 69}
 
 
+def test_null_label_is_rejected():
+    import pytest
+    with pytest.raises(ValueError):
+        T.class_quotas({0: 5, None: 2}, 0.2)
+
+
 def test_split_exact_sizes_and_folds(spark):
     rows = [(i, 1 if i % 3 == 0 else 0) for i in range(1, 892)]
     df = spark.createDataFrame(rows, "subject_id long, label int")
