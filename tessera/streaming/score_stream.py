@@ -34,3 +34,29 @@ def file_stream(spark: SparkSession, glob: str, schema: str, max_files_per_trigg
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(glob)
+
+
+def score_orders_stream(spark: SparkSession, sf_dir: str, model, rules, spec=None,
+                        name: str = "model_stream") -> DataFrame:
+    """The scoring endpoint as a stream, with a fitted pipeline: new orders arrive as
+    files, each micro-batch joins the static customer table, derives the request
+    features, validates, fills defaults and is scored by ``model`` (every stage is
+    row-wise, so the fitted pipeline applies to the stream unchanged)."""
+    from tessera.functions.features import feature_frame
+    from tessera.operators import score as X
+    from tessera.sources import fixtures
+    from tessera.sources.tables import read_table, table_path
+    from tessera.spec import PRESET_A
+
+    spec = spec or PRESET_A
+    glob = table_path(sf_dir, "orders").replace("orders.parquet", "orders*.parquet")
+    orders = file_stream(spark, glob, fixtures.ORDER_SCHEMA)
+    customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+
+    def transform(stream):
+        feats = feature_frame(fixtures.subjects_from(stream.select(*fixtures.ORDER_COLS), customer), spec)
+        valid = X.apply_defaults(X.valid_rows(feats, rules), spec, mode="derive")
+        out = model.transform(valid)
+        return out.select("subject_id", *X.verdict(X.positive_probability(out)))
+
+    return run_available(spark, orders, transform, name=name)

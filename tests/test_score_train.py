@@ -71,3 +71,22 @@ def test_logistic_attribution_invariant(spark):
                                          F.first("margin").alias("m"))
     assert chk.count() > 0
     assert chk.filter(F.abs(F.col("b") + F.col("s") - F.col("m")) > 1e-9).count() == 0
+
+
+def test_stream_with_fitted_model_equals_batch(spark):
+    from tessera.functions.features import feature_frame
+    from tessera.operators import split as T
+    from tessera.operators import train as M
+    from tessera.plans.q_score import rules
+    from tessera.sources import fixtures
+    from tessera.streaming.score_stream import score_orders_stream
+    sf = "/root/testdata/sf0.001"
+    feats = feature_frame(fixtures.subjects(spark, sf), PRESET_A)
+    fs = T.stratified_split(feats)
+    train = fs.filter(F.col("split") == "train")
+    model = M.fit(train, list(PRESET_A.numeric), list(PRESET_A.categorical), M.logistic(train.count(), max_iter=50))
+    streamed = score_orders_stream(spark, sf, model, rules())
+    valid = X.apply_defaults(X.valid_rows(feats, rules()), PRESET_A, mode="derive")
+    batch = X.score_with_model(model, valid)
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0
