@@ -60,3 +60,16 @@ def test_population_scaler_and_unknown_category(spark):
     assert row[0]["f"][1:] == [1.0, 0.0]
     assert row[3]["f"][1:] == [0.0, 0.0]  # unknown category -> all zeros
     assert I.encoded_names(m, ["v"], ["c"]) == ["v", "c_x", "c_y"]
+
+
+def test_describe_exact_vs_sketch(spark, sf_small):
+    from tessera.operators import profile as P
+    from tessera.sources import fixtures
+    s = fixtures.subjects(spark, sf_small)
+    ex = {r["col_name"]: r for r in P.describe(s, ["age", "fare"]).collect()}
+    ap = {r["col_name"]: r for r in P.describe(s, ["age", "fare"], exact=False).collect()}
+    for c in ("age", "fare"):
+        assert ex[c]["count"] == ap[c]["count"] and ex[c]["mean"] == ap[c]["mean"]
+        spread = ex[c]["max"] - ex[c]["min"]
+        for q in ("q25", "q50", "q75"):
+            assert abs(ex[c][q] - ap[c][q]) <= 0.01 * spread

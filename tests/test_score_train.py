@@ -90,3 +90,11 @@ def test_stream_with_fitted_model_equals_batch(spark):
     batch = X.score_with_model(model, valid)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as entry
+    df = entry.entry(spark)
+    assert [f.name for f in df.schema.fields] == ["model", "class", "precision", "recall", "f1", "support"]
+    rows = df.collect()
+    assert len(rows) == 5 and {r["class"] for r in rows} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
