@@ -136,7 +136,7 @@ def _schema_rows_sql(view: str, cols: list[tuple[str, str]]) -> str:
     return "\nUNION ALL\n".join(f"(SELECT '{c}' AS col_name, {m.format(c=c)} AS dtype FROM {view} LIMIT 1)" for c, _ in cols)
 
 
-@query("schema_diff", W_F.rstrip() + ", subjects2 AS (SELECT * FROM subjects)"
+@query("schema_diff", W_F.rstrip() +
        f",\nl AS ({_schema_rows_sql('subjects', _SUBJ_TYPES)}),\nr AS ({_schema_rows_sql('features', _FEAT_TYPES)})\n"
        "SELECT col_name, dtype, 'left_only' AS side FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) a\n"
        "UNION ALL SELECT col_name, dtype, 'right_only' AS side FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l) b")

@@ -29,12 +29,15 @@ def q_shape(spark, sf):
     return P.shape(subjects(spark, sf))
 
 
-_DUCK_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' " \
-              "WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END"
+def _duck_type(col: str) -> str:
+    """DuckDB type name of a column, spelled as Spark's simpleString."""
+    t = f"typeof({col})"
+    return (f"CASE {t} WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+            f"WHEN 'DOUBLE' THEN 'double' ELSE lower({t}) END")
 
 
 @query("profile_dtypes", W_S + _union([
-    f"(SELECT CAST({i + 1} AS INT) AS ordinal, '{c}' AS col_name, {_DUCK_TYPES.replace('column_type', f'typeof({c})')} "
+    f"(SELECT CAST({i + 1} AS INT) AS ordinal, '{c}' AS col_name, {_duck_type(c)} "
     f"AS dtype FROM subjects LIMIT 1)" for i, (c, _) in enumerate(SUBJECT_COLS)]))
 def q_dtypes(spark, sf):
     return P.dtypes(subjects(spark, sf))
