@@ -52,6 +52,9 @@ def with_class_rank(df: DataFrame, id_col: str, label: str, seed: int, n_rows: i
 
 
 SPLIT_HEX_DIGITS = 4  # 65536 hash buckets per class
+# The (class, bucket) offsets table has at most classes x 16**SPLIT_HEX_DIGITS rows; it
+# is broadcast when that bound is below this many rows (about 40 bytes a row).
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def stratified_split(df: DataFrame, id_col: str = "subject_id", label: str = "label", test_frac: float = 0.2,
@@ -77,7 +80,10 @@ def stratified_split(df: DataFrame, id_col: str = "subject_id", label: str = "la
     offs = small.select(label, "_bucket", "_bn", F.coalesce(F.sum("_bn").over(w), F.lit(0)).alias("_off"))
     offs = offs.withColumn("_state", F.when(F.col("_off") + F.col("_bn") <= q, F.lit("test"))
                            .when(F.col("_off") >= q, F.lit("train")).otherwise(F.lit("boundary")))
-    j = h.join(offs.select(label, "_bucket", "_off", "_state"), on=[label, "_bucket"], how="inner")
+    offs = offs.select(label, "_bucket", "_off", "_state")
+    if len(counts) * 16 ** SPLIT_HEX_DIGITS <= BROADCAST_MAX_ROWS:
+        offs = F.broadcast(offs)  # size bound proven above: rows are not shuffled to meet it
+    j = h.join(offs, on=[label, "_bucket"], how="inner")
     decided = j.filter(F.col("_state") != "boundary").withColumn(split_col, F.col("_state"))
     wb = Window.partitionBy(label, "_bucket").orderBy(HASH, id_col)
     bnd = j.filter(F.col("_state") == "boundary").withColumn(
