@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import parallel_buckets, running_totals, with_quantile_buckets
+from tessera.operators.ranks import parallel_buckets, running_totals, value_buckets
 from tessera.session import checkpointed
 
 
@@ -103,11 +103,12 @@ def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: st
     """
     n_buckets = n_buckets or default_buckets(df.sparkSession)
     src = df.select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
-    src = with_quantile_buckets(src, ["_neg_score"], n_buckets).withColumnRenamed("_neg_score__b", "_bucket")
-    # one shuffle to distinct scores per key; checkpointed (read twice by the running totals)
+    # one shuffle to distinct scores per key; checkpointed (the sketch and the running
+    # totals read it, not the source)
     d = checkpointed(
-        src.groupBy(*keys, "_bucket", "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
+        src.groupBy(*keys, "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
         .withColumn("score", F.when(F.col("_neg_score") == 0, F.lit(0.0)).otherwise(-F.col("_neg_score"))))
+    d = value_buckets(d, "_neg_score", n_buckets, out="_bucket")
     r = running_totals(d, keys, "_bucket", [F.col("_neg_score")], ["pos", "neg"])
     return r.drop("_neg_score", "_bucket")
 
@@ -118,7 +119,8 @@ def roc_curve(df: DataFrame, keys: list[str], label: str = "label", score: str =
     pts = t.select(*keys, F.col("score").alias("threshold"),
                    F.try_divide(F.col("cum_neg").cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
                    F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))
-    start = df.select(*keys).distinct().select(*keys, F.lit(float("inf")).alias("threshold"),
+    # keys from the checkpointed distinct-score table: no second pass over the source
+    start = t.select(*keys).distinct().select(*keys, F.lit(float("inf")).alias("threshold"),
                                                F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
 
@@ -141,7 +143,7 @@ def pr_curve(df: DataFrame, keys: list[str], label: str = "label", score: str =
                    _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
                    F.coalesce(F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double")),
                               F.lit(1.0)).alias("recall"))
-    close = df.select(*keys).distinct().select(*keys, F.lit(None).cast("double").alias("threshold"),
+    close = t.select(*keys).distinct().select(*keys, F.lit(None).cast("double").alias("threshold"),
                                                F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(close)
 

@@ -95,29 +95,59 @@ def running_totals(df: DataFrame, keys: list[str], bucket: str, order: list[Colu
                     *[F.col("tot_" + c) for c in sums])
 
 
+def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = None, out: str = BUCKET) -> DataFrame:
+    """Add ``out``: a bucket id monotone in ``value`` within each ``by`` group (-1 for null).
+
+    Meant for a collapsed table (one row per distinct value): its sketch edges balance the
+    buckets by the rows the running totals actually process, and the sketch reads that
+    small table, not the source. The edges (groups x buckets numbers) reach the driver;
+    each row is placed by a JVM binary search.
+    """
+    if by is None:
+        groups = {None: quantile_edges(df, [value], n_buckets)[value]}
+    else:
+        probs = [i / n_buckets for i in range(1, n_buckets)] if n_buckets > 1 else [0.5]
+        acc = max(1_000, 50 * n_buckets)
+        rows = df.groupBy(by).agg(F.percentile_approx(F.col(value).cast("double"), probs, acc).alias("_e")).collect()
+        groups = {r[by]: sorted({float(x) for x in (r["_e"] or []) if x is not None and not math.isnan(x)})
+                  if n_buckets > 1 else [] for r in rows}
+    names = list(groups)
+    tmp_in = [f"_bv{i}" for i in range(len(names))]
+    tmp_out = [f"_bb{i}" for i in range(len(names))]
+    # Bucketizer wants >= 3 splits; a group without interior edges gets one neutral split
+    splits = [[-math.inf] + (groups[g] or [0.0]) + [math.inf] for g in names]
+    src = df.select("*", *[F.col(value).cast("double").alias(t) for t in tmp_in])
+    b = Bucketizer(splitsArray=splits, inputCols=tmp_in, outputCols=tmp_out, handleInvalid="keep").transform(src)
+    if by is None:
+        bucket = F.col(tmp_out[0])
+    else:
+        bucket = F.coalesce(*[F.when(F.col(by) == F.lit(g), F.col(t)) for g, t in zip(names, tmp_out)])
+    bucket = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(bucket.cast("int"))
+    return b.select(*df.columns, bucket.alias(out))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: list[str] | None = None,
                     n_buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy 'linear' / SQL ``quantile_cont``).
 
     Returns long rows ``(*keys, col_name, p, value)``; nulls are skipped, an all-null
-    column gives a null value. Plan: one sketch pass for bucket edges; one shuffle that
-    collapses the rows to distinct (key, column, value) counts, which is checkpointed to
-    the shared folder (built once, read twice, survives executor loss); then running
-    totals per (key, column, bucket). No task ever holds a whole column.
+    column gives a null value. Plan: one shuffle collapses the rows to distinct (key,
+    column, value) counts (map-side combined, so a hot value is one row per task), which is
+    checkpointed to the shared folder (read three times, survives executor loss); bucket
+    edges come from a sketch over that table; then running totals per (key, column,
+    bucket). The source is scanned once and no task ever holds a whole column.
     """
     keys = list(keys or [])
     if n_buckets is None:
         n_buckets = parallel_buckets(df.sparkSession)
-    wide = with_quantile_buckets(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]), cols, n_buckets)
-    pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("value"), F.col(c + "__b").alias(BUCKET))
-                      for c in cols])
-    long = wide.select(*keys, F.inline(pairs))
+    pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(*keys, F.inline(pairs))
     # NaN counts as missing; a missing value stays as one zero-weight row so that an
     # all-null column still yields its (null) result without another pass
     value = F.when(F.isnan("value"), F.lit(None).cast("double")).otherwise(F.col("value"))
-    long = long.select(*keys, "col_name", value.alias("value"),
-                       F.when(value.isNull(), F.lit(-1)).otherwise(F.col(BUCKET)).alias(BUCKET))
-    vc = checkpointed(long.groupBy(*keys, "col_name", BUCKET, "value").agg(F.count("value").alias("c")))
+    long = long.select(*keys, "col_name", value.alias("value"))
+    vc = checkpointed(long.groupBy(*keys, "col_name", "value").agg(F.count("value").alias("c")))
+    vc = value_buckets(vc, "value", n_buckets, by="col_name")
     kk = keys + ["col_name"]
     ranked = running_totals(vc, kk, BUCKET, [F.col("value")], ["c"])
     # a value occupies 0-based ranks [cum_c - c, cum_c - 1]; n = tot_c

@@ -3,7 +3,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.operators import prep as I
-from tessera.operators.ranks import exact_quantiles, running_totals, with_quantile_buckets
+from tessera.operators.ranks import BUCKET, exact_quantiles, running_totals, value_buckets, with_quantile_buckets
 
 
 def test_exact_median_even_count_and_all_null(spark):
@@ -25,6 +25,34 @@ def test_exact_quantiles_match_numpy_with_hot_value(spark):
             assert abs(q[(g, p)] - np.quantile(sub["v"].to_numpy(), p)) < 1e-12
 
 
+def test_exact_quantiles_columns_of_different_scale_nan_and_null(spark):
+    # per-column bucket edges: one column in [0, 1e6] with a hot value, one tiny, one with NaN/null
+    rng = np.random.default_rng(11)
+    n = 4000
+    a = np.where(rng.random(n) < 0.35, 123456.0, rng.uniform(0, 1e6, n))
+    b = rng.normal(scale=1e-3, size=n)
+    c = rng.integers(-3, 3, n).astype(float)
+    c[rng.random(n) < 0.1] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c})
+    df = spark.createDataFrame(pdf).withColumn("c", F.when(F.col("c") == -3, None).otherwise(F.col("c")))
+    probs = [0.0, 0.2, 0.5, 0.8, 1.0]
+    q = {(r["col_name"], r["p"]): r["value"] for r in exact_quantiles(df, ["a", "b", "c"], probs, n_buckets=7).collect()}
+    cc = pdf["c"].to_numpy()
+    cc = cc[~np.isnan(cc) & (cc != -3)]
+    for name, arr in (("a", a), ("b", b), ("c", cc)):
+        for p in probs:
+            assert abs(q[(name, p)] - np.quantile(arr, p)) <= 1e-9 * max(1.0, abs(np.quantile(arr, p)))
+
+
+def test_value_buckets_monotone_within_group(spark):
+    pdf = pd.DataFrame({"g": ["x"] * 500 + ["y"] * 500,
+                        "v": np.concatenate([np.arange(500) * 1000.0, np.arange(500) / 1000.0])})
+    out = value_buckets(spark.createDataFrame(pdf), "v", 5, by="g").toPandas().sort_values(["g", "v"])
+    for _g, sub in out.groupby("g"):
+        b = sub[BUCKET].to_numpy()
+        assert (np.diff(b) >= 0).all() and b.max() - b.min() >= 3  # spread over the buckets
+
+
 def test_running_totals_equal_cumsum(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"k": rng.integers(0, 2, 2000), "x": rng.permutation(2000).astype(float), "w": rng.integers(1, 5, 2000)})
