@@ -96,10 +96,11 @@ def classification_report(df: DataFrame, keys: list[str], label: str = "label",
 
 
 def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: str = "score",
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, with_next: bool = False) -> DataFrame:
     """Distinct scores per key with positives/negatives and running totals in descending score.
 
-    Columns: keys, score, pos, neg, cum_pos, cum_neg (inclusive, from the top), tot_pos, tot_neg.
+    Columns: keys, score, pos, neg, cum_pos, cum_neg (inclusive, from the top), tot_pos, tot_neg;
+    ``with_next`` adds next_pos, next_neg (counts at the next lower score, null at the last).
     """
     n_buckets = n_buckets or default_buckets(df.sparkSession)
     src = df.select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
@@ -109,13 +110,25 @@ def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: st
         src.groupBy(*keys, "_neg_score").agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
         .withColumn("score", F.when(F.col("_neg_score") == 0, F.lit(0.0)).otherwise(-F.col("_neg_score"))))
     d = value_buckets(d, "_neg_score", n_buckets, out="_bucket")
-    r = running_totals(d, keys, "_bucket", [F.col("_neg_score")], ["pos", "neg"])
+    r = running_totals(d, keys, "_bucket", [F.col("_neg_score")], ["pos", "neg"],
+                       next_cols=["pos", "neg"] if with_next else ())
     return r.drop("_neg_score", "_bucket")
 
 
-def roc_curve(df: DataFrame, keys: list[str], label: str = "label", score: str = "score") -> DataFrame:
-    """One point per distinct score (descending) plus the (0, 0) start at threshold +inf."""
-    t = score_totals(df, keys, label, score)
+def roc_curve(df: DataFrame, keys: list[str], label: str = "label", score: str = "score",
+              drop_intermediate: bool = True) -> DataFrame:
+    """One point per distinct score (descending) plus the (0, 0) start at threshold +inf.
+
+    ``drop_intermediate`` (the modelled library's default) keeps the first and last point
+    and every corner: an inner point stays when the step to the next point differs from
+    the step into it, i.e. when the next score's (pos, neg) counts differ from its own.
+    Collinear points go; the area is unchanged.
+    """
+    t = score_totals(df, keys, label, score, with_next=drop_intermediate)
+    if drop_intermediate:
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        corner = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        t = t.filter(first | F.col("next_pos").isNull() | corner)
     pts = t.select(*keys, F.col("score").alias("threshold"),
                    F.try_divide(F.col("cum_neg").cast("double"), F.col("tot_neg").cast("double")).alias("fpr"),
                    F.try_divide(F.col("cum_pos").cast("double"), F.col("tot_pos").cast("double")).alias("tpr"))

@@ -76,23 +76,34 @@ def with_quantile_buckets(df: DataFrame, cols: list[str], n_buckets: int, suffix
 
 
 def running_totals(df: DataFrame, keys: list[str], bucket: str, order: list[Column], sums: list[str],
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", next_cols: list[str] | tuple = ()) -> DataFrame:
     """Inclusive running sums of ``sums`` within ``keys``, in ``order`` (a total order).
 
     ``bucket`` must be monotone in ``order`` within each key. Adds ``cum_<c>`` columns and
-    ``tot_<c>`` (the key total).
+    ``tot_<c>`` (the key total). ``next_cols`` adds ``next_<c>``, the value in the following
+    row of the key (null after the last): a lead inside each (key, bucket) window, and for
+    a bucket's last row the first row of the next non-empty bucket, carried by the same
+    small per-bucket table as the offsets.
     """
-    small = df.groupBy(*keys, bucket).agg(*[F.sum(c).alias("_b_" + c) for c in sums])
+    aggs = [F.sum(c).alias("_b_" + c) for c in sums]
+    if next_cols:
+        aggs.append(F.min_by(F.struct(*next_cols), F.struct(*order)).alias("_first"))
+    small = df.groupBy(*keys, bucket).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     wt = Window.partitionBy(*keys)
+    nb = [F.lead("_first").over(Window.partitionBy(*keys).orderBy(bucket)).alias("_nb")] if next_cols else []
     offs = small.select(*keys, bucket,
                         *[F.coalesce(F.sum("_b_" + c).over(wb), F.lit(0)).alias("_off_" + c) for c in sums],
-                        *[F.sum("_b_" + c).over(wt).alias("tot_" + c) for c in sums])
+                        *[F.sum("_b_" + c).over(wt).alias("tot_" + c) for c in sums], *nb)
     j = df.join(offs, on=keys + [bucket], how="inner")
     wi = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wl = Window.partitionBy(*keys, bucket).orderBy(*order)
+    last_in_bucket = F.lead(F.lit(1)).over(wl).isNull()
+    nxt = [F.when(last_in_bucket, F.col("_nb")[c]).otherwise(F.lead(c).over(wl)).alias("next_" + c)
+           for c in next_cols]
     return j.select(*df.columns,
                     *[(F.col("_off_" + c) + F.sum(c).over(wi)).alias(prefix + c) for c in sums],
-                    *[F.col("tot_" + c) for c in sums])
+                    *[F.col("tot_" + c) for c in sums], *nxt)
 
 
 def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = None, out: str = BUCKET) -> DataFrame:

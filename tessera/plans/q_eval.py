@@ -81,8 +81,12 @@ def q_report(spark, sf):
     return V.classification_report(scored(spark, sf), ["model"])
 
 
-@query("roc_curve", _w(_TOTALS) + """SELECT model, score AS threshold, CAST(cum_neg AS DOUBLE) / tot_neg AS fpr,
-  CAST(cum_pos AS DOUBLE) / tot_pos AS tpr FROM t
+@query("roc_curve", _w(_TOTALS) + """, n AS (SELECT t.*,
+  lead(pos) OVER (PARTITION BY model ORDER BY score DESC) AS next_pos,
+  lead(neg) OVER (PARTITION BY model ORDER BY score DESC) AS next_neg FROM t)
+SELECT model, score AS threshold, CAST(cum_neg AS DOUBLE) / tot_neg AS fpr,
+  CAST(cum_pos AS DOUBLE) / tot_pos AS tpr FROM n
+WHERE (cum_pos = pos AND cum_neg = neg) OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
 UNION ALL SELECT DISTINCT model, CAST('infinity' AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM scored""")
 def q_roc_curve(spark, sf):
     return V.roc_curve(scored(spark, sf), ["model"])

@@ -69,9 +69,47 @@ def test_roc_curve_matches_bruteforce(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"model": "m", "label": rng.integers(0, 2, 500), "score": rng.integers(0, 40, 500) / 40.0})
     pdf["pred"] = (pdf["score"] >= 0.5).astype(int)
-    curve = V.roc_curve(spark.createDataFrame(pdf), ["model"]).toPandas()
+    curve = V.roc_curve(spark.createDataFrame(pdf), ["model"], drop_intermediate=False).toPandas()
     P, N = pdf["label"].sum(), (1 - pdf["label"]).sum()
     for s in sorted(pdf["score"].unique()):
         sel = pdf[pdf["score"] >= s]
         row = curve[curve["threshold"] == s].iloc[0]
         assert row["tpr"] == sel["label"].sum() / P and row["fpr"] == (1 - sel["label"]).sum() / N
+
+
+def _roc_drop_intermediate(y, s):
+    """Reference rule: points at distinct scores (descending); keep first, last and every
+    point where the second difference of fps or tps is non-zero; prepend (inf, 0, 0)."""
+    import numpy as np
+    o = np.argsort(-s, kind="mergesort")
+    s, y = s[o], y[o]
+    idx = np.r_[np.where(np.diff(s))[0], len(y) - 1]
+    tps = np.cumsum(y)[idx]
+    fps = 1 + idx - tps
+    thr = s[idx]
+    if len(fps) > 2:
+        keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+        fps, tps, thr = fps[keep], tps[keep], thr[keep]
+    return np.r_[np.inf, thr], np.r_[0, fps] / fps[-1], np.r_[0, tps] / tps[-1]
+
+
+def test_roc_curve_drops_collinear_points_like_reference(spark):
+    import numpy as np
+    rng = np.random.default_rng(9)
+    parts = []
+    for m, n in (("a", 700), ("b", 300)):
+        # mostly unique scores (runs of one label are collinear) plus a block of ties
+        sc = np.r_[rng.permutation(n) / n, rng.integers(0, 5, 60) / 5.0]
+        y = (rng.random(len(sc)) < sc).astype(int)
+        parts.append(pd.DataFrame({"model": m, "label": y, "score": sc}))
+    pdf = pd.concat(parts, ignore_index=True)
+    pdf["pred"] = (pdf["score"] >= 0.5).astype(int)
+    curve = V.roc_curve(spark.createDataFrame(pdf), ["model"]).toPandas()
+    full = V.roc_curve(spark.createDataFrame(pdf), ["model"], drop_intermediate=False).count()
+    assert len(curve) < full
+    for m, sub in pdf.groupby("model"):
+        thr, fpr, tpr = _roc_drop_intermediate(sub["label"].to_numpy(), sub["score"].to_numpy())
+        got = curve[curve["model"] == m].sort_values("threshold", ascending=False)
+        assert len(got) == len(thr)
+        assert np.allclose(got["threshold"].to_numpy(), thr) and np.allclose(got["fpr"].to_numpy(), fpr)
+        assert np.allclose(got["tpr"].to_numpy(), tpr)
