@@ -38,6 +38,16 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_frame(fixtures.subjects(spark, sf_dir), PRESET_A)
 
 
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature frame with the stratified ``split`` column, checkpointed to the shared folder.
+
+    Fits read it several times and the result once more: written once, it spares every
+    later pass the source join and the split, and it survives executor loss."""
+    from tessera.operators.split import stratified_split
+    from tessera.session import checkpointed
+    return checkpointed(stratified_split(features(spark, sf_dir)))
+
+
 def features_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_frame(fixtures.subjects(spark, sf_dir), PRESET_B)
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import explain as H
 from tessera.operators import prep as I
-from tessera.operators import split as T
 from tessera.operators import train as M
-from tessera.plans.catalog import features, query
+from tessera.plans.catalog import query, split_table
 from tessera.plans.views import with_views
-from tessera.session import persisted
 from tessera.spec import PRESET_A
 
 NUMERIC = list(PRESET_A.numeric)
@@ -35,10 +33,9 @@ _X = with_views("features", "split", extra=[
 
 
 def linear_attr(spark, sf):
-    fs = T.stratified_split(features(spark, sf))
-    with persisted(fs):
-        filled = I.fill(fs, I.fit_medians(fs.filter(F.col("split") == "train"), ["age", "fare"]))
-        row = filled.filter(F.col("split") == "train").agg(*[F.avg(c).alias(c) for c in LINEAR_WEIGHTS]).first()
+    fs = split_table(spark, sf)
+    filled = I.fill(fs, I.fit_medians(fs.filter(F.col("split") == "train"), ["age", "fare"]))
+    row = filled.filter(F.col("split") == "train").agg(*[F.avg(c).alias(c) for c in LINEAR_WEIGHTS]).first()
     means = {c: row[c] for c in LINEAR_WEIGHTS}
     return H.linear_attributions(filled.filter(F.col("split") == "test"), "subject_id", LINEAR_WEIGHTS, means)
 
@@ -81,10 +78,9 @@ def q_attr_breakdown(spark, sf):
 @query("attribution_trees")
 def q_attr_trees(spark, sf):
     """Path attributions of a boosted-tree model for every hold-out row."""
-    fs = T.stratified_split(features(spark, sf))
+    fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
-    with persisted(fs):
-        model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=10, step=0.1, max_depth=3, subsample=0.8))
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=10, step=0.1, max_depth=3, subsample=0.8))
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
     return H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)
@@ -93,12 +89,11 @@ def q_attr_trees(spark, sf):
 @query("attribution_logistic")
 def q_attr_logistic(spark, sf):
     """Attributions of a fitted logistic model for every hold-out row."""
-    fs = T.stratified_split(features(spark, sf))
+    fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
-    with persisted(fs):
-        model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(train.count(), C=1.0, max_iter=100))
-        prep = PipelineModel(stages=model.stages[:-1])
-        names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
-        out = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1],
-                                      prep.transform(train), names)
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(train.count(), C=1.0, max_iter=100))
+    prep = PipelineModel(stages=model.stages[:-1])
+    names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
+    out = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1],
+                                  prep.transform(train), names)
     return out

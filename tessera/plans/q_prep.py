@@ -6,10 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tessera.operators import prep as I
-from tessera.operators import split as T
-from tessera.plans.catalog import features, query, subjects
+from tessera.plans.catalog import query, split_table, subjects
 from tessera.plans.views import with_views
-from tessera.session import persisted
 from tessera.spec import PRESET_A
 
 NUMERIC = list(PRESET_A.numeric)
@@ -19,7 +17,7 @@ W_FS = with_views("features", "split", extra=[
 
 
 def split_features(spark, sf):
-    return T.stratified_split(features(spark, sf))
+    return split_table(spark, sf)
 
 
 @query("impute_median", W_FS.rstrip() + """,
@@ -27,8 +25,7 @@ m AS (SELECT quantile_cont(age, 0.5) AS age_m, quantile_cont(fare, 0.5) AS fare_
 SELECT subject_id, split, coalesce(age, age_m) AS age, coalesce(fare, fare_m) AS fare FROM fs CROSS JOIN m""")
 def q_impute_median(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        med = I.fit_medians(fs.filter(F.col("split") == "train"), ["age", "fare"])
+    med = I.fit_medians(fs.filter(F.col("split") == "train"), ["age", "fare"])
     return I.fill(fs, med).select("subject_id", "split", "age", "fare")
 
 
@@ -40,8 +37,7 @@ SELECT subject_id, split, coalesce(port, port_m) AS port, coalesce(age_group, ag
 FROM fs CROSS JOIN pm CROSS JOIN am""")
 def q_impute_mode(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        modes = I.fit_modes(fs.filter(F.col("split") == "train"), ["port", "age_group"])
+    modes = I.fit_modes(fs.filter(F.col("split") == "train"), ["port", "age_group"])
     return I.fill(fs, modes).select("subject_id", "split", "port", "age_group")
 
 
@@ -62,8 +58,7 @@ SELECT fs.subject_id, round(coalesce(fs.age, gm.g_m, m.age_m), 6) AS age
 FROM fs LEFT JOIN gm ON fs.title = gm.title AND fs.tier = gm.tier CROSS JOIN m""")
 def q_impute_group(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        out = I.group_median_fill(fs, "age", ["title", "tier"], fit_on=fs.filter(F.col("split") == "train"))
+    out = I.group_median_fill(fs, "age", ["title", "tier"], fit_on=fs.filter(F.col("split") == "train"))
     return out.select("subject_id", F.round("age", 6).alias("age"))
 
 
@@ -86,11 +81,10 @@ FROM x CROSS JOIN st"""
 @query("standardise", _STD_SQL)
 def q_standardise(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        train = fs.filter(F.col("split") == "train")
-        imp = I.ExactImputer(inputCols=NUMERIC, strategy="median").fit(train)
-        filled = imp.transform(fs).withColumns({c: F.col(c).cast("double") for c in NUMERIC})
-        sc = I.PopulationScaler(inputCols=NUMERIC).fit(filled.filter(F.col("split") == "train"))
+    train = fs.filter(F.col("split") == "train")
+    imp = I.ExactImputer(inputCols=NUMERIC, strategy="median").fit(train)
+    filled = imp.transform(fs).withColumns({c: F.col(c).cast("double") for c in NUMERIC})
+    sc = I.PopulationScaler(inputCols=NUMERIC).fit(filled.filter(F.col("split") == "train"))
     out = sc.transform(filled)
     return out.select("subject_id", *[F.round(c, 6).alias(c) for c in NUMERIC])
 
@@ -113,8 +107,7 @@ _CATS = W_FS.rstrip() + f",\nlongv AS ({_cat_sql_parts()}),\ncats AS (SELECT DIS
        "JOIN cats c ON l.col_name = c.col_name AND l.value = c.value")
 def q_onehot_long(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
+    model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
     out = model.transform(fs)
     # active one-hot slots: category index below the number of known labels
     recs = []
@@ -136,8 +129,7 @@ _ORDER = ", ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CATEGORICAL))
   UNION ALL {' UNION ALL '.join(f"SELECT {i + 1}, '{c}'" for i, c in enumerate(NUMERIC))}) z""")
 def q_encoded_names(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
+    model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
     names = I.encoded_names(model, NUMERIC, CATEGORICAL)
     # the names are model metadata (one per vector slot); as a table, anchored on the fitted rows
     rows = [(i + 1, n) for i, n in enumerate(names)]
@@ -147,8 +139,7 @@ def q_encoded_names(spark, sf):
 @query("assembled_vectors")
 def q_assembled(spark, sf):
     fs = split_features(spark, sf)
-    with persisted(fs):
-        model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
+    model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
     out = model.transform(fs)
     arr = vector_to_array("features")
     return out.select("subject_id", "split", F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"),

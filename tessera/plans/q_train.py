@@ -14,8 +14,8 @@ from tessera.operators import evaluate as V
 from tessera.operators import score as X
 from tessera.operators import split as T
 from tessera.operators import train as M
-from tessera.plans.catalog import features, query
-from tessera.session import new_scratch_path, persisted
+from tessera.plans.catalog import features, query, split_table
+from tessera.session import new_scratch_path
 from tessera.spec import PRESET_A
 
 NUMERIC = list(PRESET_A.numeric)
@@ -23,15 +23,14 @@ CATEGORICAL = list(PRESET_A.categorical)
 
 
 def split_frames(spark, sf):
-    fs = T.stratified_split(features(spark, sf))
+    fs = split_table(spark, sf)
     return fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test"), fs
 
 
 def fit_on_split(spark, sf, classifier_fn):
-    """Fit on the training rows with the split frame kept materialised during the fit."""
+    """Fit on the training rows of the checkpointed split frame."""
     train, test, fs = split_frames(spark, sf)
-    with persisted(fs):
-        model = M.fit(train, NUMERIC, CATEGORICAL, classifier_fn(train))
+    model = M.fit(train, NUMERIC, CATEGORICAL, classifier_fn(train))
     return model, train, test
 
 
