@@ -136,7 +136,27 @@ def q_encoded_names(spark, sf):
     return spark.createDataFrame(rows, "position int, feature_name string")
 
 
-@query("assembled_vectors")
+def _assembled_sql():
+    """Assembled vector = standardised numerics, then one slot per training category (1 if
+    the row's filled value is a training category, else all zeros): its non-zero count
+    and sum from the standardise and category CTEs."""
+    head = W_FS.rstrip()
+    std_ctes = _STD_SQL[len(head):_STD_SQL.index("\nSELECT subject_id, round(")]
+    cat_ctes = _CATS[len(head):].rstrip()
+    z = ", ".join(f"({c} - {m}_m) / CASE WHEN {m}_s = 0 THEN 1 ELSE {m}_s END AS {c}"
+                  for c, m in zip(NUMERIC, ("a", "f", "s", "p", "z")))
+    nz = " + ".join(f"CASE WHEN z.{c} <> 0 THEN 1 ELSE 0 END" for c in NUMERIC)
+    total = " + ".join(f"z.{c}" for c in NUMERIC)
+    return head + std_ctes + cat_ctes + f""",
+z AS (SELECT subject_id, split, {z} FROM x CROSS JOIN st),
+k AS (SELECT l.subject_id, count(*) AS n_known FROM longv l JOIN cats c ON l.col_name = c.col_name AND l.value = c.value
+  GROUP BY l.subject_id)
+SELECT z.subject_id, z.split, CAST({nz} + coalesce(k.n_known, 0) AS INT) AS n_nonzero,
+  round({total} + coalesce(k.n_known, 0), 6) AS row_sum
+FROM z LEFT JOIN k ON z.subject_id = k.subject_id"""
+
+
+@query("assembled_vectors", _assembled_sql())
 def q_assembled(spark, sf):
     fs = split_features(spark, sf)
     model = I.preprocessor(NUMERIC, CATEGORICAL).fit(fs.filter(F.col("split") == "train"))
