@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import exact_quantiles
+from tessera.operators.ranks import distinct_value_counts, quantiles_from_counts
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -63,14 +63,27 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6
     """
     def r(c):
         return F.round(c, digits)
-    pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols])
-    long = df.select(F.inline(pairs))
-    basic = long.groupBy("col_name").agg(
-        F.count("v").alias("count"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
     if exact:
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        # one source scan: moments, extremes and quartiles all come from the checkpointed
+        # distinct-value table (count-weighted sums; two-pass sum of squared deviations)
+        vc = distinct_value_counts(df, cols)
+        q = quantiles_from_counts(vc, [0.25, 0.5, 0.75])
+        wsum = F.sum(F.col("value") * F.col("c"))
+        m = vc.groupBy("col_name").agg(
+            F.sum("c").alias("count"), F.try_divide(wsum, F.sum("c").cast("double")).alias("_mean"),
+            F.min("value").alias("min"), F.max("value").alias("max"))
+        dev = F.col("value") - F.col("_mean")
+        ss = vc.join(m.select("col_name", "_mean"), "col_name") \
+            .groupBy("col_name").agg(F.sum(F.col("c") * dev * dev).alias("_ss"))
+        basic = m.join(ss, "col_name").select(
+            "col_name", "count", r(F.col("_mean")).alias("mean"),
+            r(F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).alias("std"), "min", "max")
     else:
+        pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols])
+        long = df.select(F.inline(pairs))
+        basic = long.groupBy("col_name").agg(
+            F.count("v").alias("count"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max"))
         q = long.groupBy("col_name").agg(F.percentile_approx("v", [0.25, 0.5, 0.75], 10_000).alias("a")) \
             .select("col_name", F.inline(F.arrays_zip(F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]).alias("p"),
                                                    F.col("a").cast("array<double>").alias("value"))))

@@ -137,16 +137,14 @@ def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = No
     return b.select(*df.columns, bucket.alias(out))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: list[str] | None = None,
-                    n_buckets: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy 'linear' / SQL ``quantile_cont``).
-
-    Returns long rows ``(*keys, col_name, p, value)``; nulls are skipped, an all-null
-    column gives a null value. Plan: one shuffle collapses the rows to distinct (key,
-    column, value) counts (map-side combined, so a hot value is one row per task), which is
-    checkpointed to the shared folder (read three times, survives executor loss); bucket
-    edges come from a sketch over that table; then running totals per (key, column,
-    bucket). The source is scanned once and no task ever holds a whole column.
+def distinct_value_counts(df: DataFrame, cols: list[str], keys: list[str] | None = None,
+                          n_buckets: int | None = None) -> DataFrame:
+    """Rows ``(*keys, col_name, value, c, _bucket)``: every distinct non-null value of each
+    column (as double) with its count, plus one zero-count null row where a column has
+    missing values, and a bucket monotone in the value per column.
+
+    One shuffle, map-side combined (a hot value is one row per task), checkpointed to the
+    shared folder: quantiles and moments are all read from it, never from the source.
     """
     keys = list(keys or [])
     if n_buckets is None:
@@ -158,7 +156,24 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: li
     value = F.when(F.isnan("value"), F.lit(None).cast("double")).otherwise(F.col("value"))
     long = long.select(*keys, "col_name", value.alias("value"))
     vc = checkpointed(long.groupBy(*keys, "col_name", "value").agg(F.count("value").alias("c")))
-    vc = value_buckets(vc, "value", n_buckets, by="col_name")
+    return value_buckets(vc, "value", n_buckets, by="col_name")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], keys: list[str] | None = None,
+                    n_buckets: int | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy 'linear' / SQL ``quantile_cont``).
+
+    Returns long rows ``(*keys, col_name, p, value)``; nulls are skipped, an all-null
+    column gives a null value. Plan: :func:`distinct_value_counts` (the only source scan;
+    bucket edges from a sketch over the collapsed table), then running totals per (key,
+    column, bucket). No task ever holds a whole column.
+    """
+    return quantiles_from_counts(distinct_value_counts(df, cols, keys, n_buckets), probs, keys)
+
+
+def quantiles_from_counts(vc: DataFrame, probs: list[float], keys: list[str] | None = None) -> DataFrame:
+    """Exact quantiles from a :func:`distinct_value_counts` table."""
+    keys = list(keys or [])
     kk = keys + ["col_name"]
     ranked = running_totals(vc, kk, BUCKET, [F.col("value")], ["c"])
     # a value occupies 0-based ranks [cum_c - c, cum_c - 1]; n = tot_c

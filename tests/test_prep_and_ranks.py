@@ -101,3 +101,27 @@ def test_describe_exact_vs_sketch(spark, sf_small):
         spread = ex[c]["max"] - ex[c]["min"]
         for q in ("q25", "q50", "q75"):
             assert abs(ex[c][q] - ap[c][q]) <= 0.01 * spread
+
+
+def test_describe_matches_pandas_edge_columns(spark):
+    from tessera.operators import profile as P
+    rng = np.random.default_rng(21)
+    n = 3000
+    pdf = pd.DataFrame({
+        "hot": np.where(rng.random(n) < 0.4, 7.5, rng.normal(100.0, 30.0, n)),
+        "gaps": np.where(rng.random(n) < 0.2, np.nan, rng.integers(0, 9, n).astype(float)),
+        "one": np.where(np.arange(n) == 5, 42.0, np.nan),
+        "none": np.full(n, np.nan),
+    })
+    df = spark.createDataFrame(pdf)
+    got = {r["col_name"]: r for r in P.describe(df, list(pdf.columns)).collect()}
+    exp = pdf.describe()
+    for c in pdf.columns:
+        e = exp[c]
+        assert got[c]["count"] == int(e["count"])
+        for k, name in (("mean", "mean"), ("std", "std"), ("min", "min"), ("q25", "25%"), ("q50", "50%"),
+                        ("q75", "75%"), ("max", "max")):
+            if np.isnan(e[name]):
+                assert got[c][k] is None, (c, k)
+            else:
+                assert abs(got[c][k] - round(e[name], 6)) <= 1e-6 * max(1.0, abs(e[name])), (c, k)
