@@ -24,12 +24,6 @@ from pyspark.sql import functions as F
 from tessera.session import checkpointed
 
 BUCKET = "_bucket"
-TARGET_ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 1 << 16
-
-
-def bucket_count(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
-    return int(min(max_buckets, max(1, math.ceil(n_rows / max(1, target)))))
 
 
 def parallel_buckets(spark) -> int:
@@ -41,12 +35,6 @@ def parallel_buckets(spark) -> int:
     return max(8, 2 * sp)
 
 
-def hash_bucket(hex_hash: Column, n_rows: int) -> Column:
-    """Bucket from the leading hex digits of a uniform hash: monotone in the hash string."""
-    digits = max(1, min(4, math.ceil(math.log(max(2, bucket_count(n_rows)), 16))))
-    return F.conv(F.substring(hex_hash, 1, digits), 16, 10).cast("int")
-
-
 def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int | None = None) -> dict[str, list[float]]:
     """Approximate quantile edges per column (one aggregation, sketch-sized result).
 
@@ -76,19 +64,25 @@ def with_quantile_buckets(df: DataFrame, cols: list[str], n_buckets: int, suffix
 
 
 def running_totals(df: DataFrame, keys: list[str], bucket: str, order: list[Column], sums: list[str],
-                   prefix: str = "cum_", next_cols: list[str] | tuple = ()) -> DataFrame:
+                   prefix: str = "cum_", next_cols: list[str] | tuple = (),
+                   bucket_totals: DataFrame | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` within ``keys``, in ``order`` (a total order).
 
     ``bucket`` must be monotone in ``order`` within each key. Adds ``cum_<c>`` columns and
     ``tot_<c>`` (the key total). ``next_cols`` adds ``next_<c>``, the value in the following
     row of the key (null after the last): a lead inside each (key, bucket) window, and for
     a bucket's last row the first row of the next non-empty bucket, carried by the same
-    small per-bucket table as the offsets.
+    small per-bucket table as the offsets. ``bucket_totals`` passes that table when the
+    caller already has it (keys, bucket, ``_b_<c>`` per sum; no ``next_cols``), which
+    spares a pass over ``df``.
     """
-    aggs = [F.sum(c).alias("_b_" + c) for c in sums]
-    if next_cols:
-        aggs.append(F.min_by(F.struct(*next_cols), F.struct(*order)).alias("_first"))
-    small = df.groupBy(*keys, bucket).agg(*aggs)
+    if bucket_totals is not None and not next_cols:
+        small = bucket_totals
+    else:
+        aggs = [F.sum(c).alias("_b_" + c) for c in sums]
+        if next_cols:
+            aggs.append(F.min_by(F.struct(*next_cols), F.struct(*order)).alias("_first"))
+        small = df.groupBy(*keys, bucket).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     wt = Window.partitionBy(*keys)
     nb = [F.lead("_first").over(Window.partitionBy(*keys).orderBy(bucket)).alias("_nb")] if next_cols else []

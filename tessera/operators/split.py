@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import hash_bucket, running_totals
+from tessera.operators.ranks import running_totals
 from tessera.session import checkpointed
 
 HASH = "_h"
@@ -42,15 +42,6 @@ def class_counts(df: DataFrame, label: str) -> dict:
     return {r[0]: r[1] for r in df.groupBy(label).count().collect()}
 
 
-def with_class_rank(df: DataFrame, id_col: str, label: str, seed: int, n_rows: int,
-                    rank_col: str = "rank_in_class") -> DataFrame:
-    """1-based rank of each row within its class in hash order (exact, distributed)."""
-    h = df.withColumn(HASH, order_hash(id_col, seed))
-    h = h.withColumn("_bucket", hash_bucket(F.col(HASH), n_rows)).withColumn("_one", F.lit(1))
-    r = running_totals(h, [label], "_bucket", [F.col(HASH), F.col(id_col)], ["_one"])
-    return r.withColumnRenamed("cum__one", rank_col).drop("tot__one", "_one", "_bucket")
-
-
 SPLIT_HEX_DIGITS = 4  # 65536 hash buckets per class
 # The (class, bucket) offsets table has at most classes x 16**SPLIT_HEX_DIGITS rows; it
 # is broadcast when that bound is below this many rows (about 40 bytes a row).
@@ -92,10 +83,17 @@ def stratified_split(df: DataFrame, id_col: str = "subject_id", label: str = "la
 
 
 def _split_with_ranks(df, id_col, label, test_frac, seed, split_col):
-    counts = class_counts(df, label)
+    # every row needs its rank: the (class, bucket) count table — one scan, checkpointed —
+    # gives the class counts (quotas) and is the offsets table of the running totals
+    h = df.withColumn(HASH, order_hash(id_col, seed))
+    h = h.withColumn("_bucket", F.conv(F.substring(HASH, 1, SPLIT_HEX_DIGITS), 16, 10).cast("int")) \
+        .withColumn("_one", F.lit(1))
+    small = checkpointed(h.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_b__one")))
+    counts = {r[0]: r[1] for r in small.groupBy(label).agg(F.sum("_b__one")).collect()}
     quotas = class_quotas(counts, test_frac)
     qmap = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
-    r = with_class_rank(df, id_col, label, seed, sum(counts.values()))
+    r = running_totals(h, [label], "_bucket", [F.col(HASH), F.col(id_col)], ["_one"], bucket_totals=small)
+    r = r.withColumnRenamed("cum__one", "rank_in_class").drop("tot__one", "_one", "_bucket")
     q = F.element_at(qmap, F.col(label))
     out = r.withColumn(split_col, F.when(F.col("rank_in_class") <= q, F.lit("test")).otherwise(F.lit("train")))
     return out.withColumn("quota", q.cast("bigint"))
