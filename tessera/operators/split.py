@@ -95,21 +95,27 @@ def _split_with_ranks(df, id_col, label, test_frac, seed, split_col):
     r = running_totals(h, [label], "_bucket", [F.col(HASH), F.col(id_col)], ["_one"], bucket_totals=small)
     r = r.withColumnRenamed("cum__one", "rank_in_class").drop("tot__one", "_one", "_bucket")
     q = F.element_at(qmap, F.col(label))
+    nmap = F.create_map(*[F.lit(x) for kv in counts.items() for x in kv])
     out = r.withColumn(split_col, F.when(F.col("rank_in_class") <= q, F.lit("test")).otherwise(F.lit("train")))
-    return out.withColumn("quota", q.cast("bigint"))
+    return out.withColumns({"quota": q.cast("bigint"), "class_n": F.element_at(nmap, F.col(label)).cast("bigint")})
 
 
 def stratified_folds(df: DataFrame, k: int = 5, id_col: str = "subject_id", label: str = "label",
                      test_frac: float = 0.2, seed: int = 42, fold_col: str = "fold") -> DataFrame:
-    """Training rows of the hold-out split with fold = (rank among the class's training rows - 1) mod k."""
+    """Training rows of the hold-out split with fold = (rank among the class's training rows - 1) mod k.
+
+    Also carries ``class_train``, the number of training rows of the row's class (a
+    constant per class, known from the split's count table), so later steps need no
+    counting pass."""
     s = stratified_split(df, id_col, label, test_frac, seed, keep_rank=True)
     tr = s.filter(F.col("split") == "train")
     tr_rank = F.col("rank_in_class") - F.col("quota")
-    return tr.withColumn("train_rank", tr_rank).withColumn(fold_col, ((tr_rank - 1) % k).cast("int")) \
-        .drop("quota", "split", HASH)
+    return tr.withColumns({"train_rank": tr_rank, fold_col: ((tr_rank - 1) % k).cast("int"),
+                           "class_train": F.col("class_n") - F.col("quota")}) \
+        .drop("quota", "class_n", "split", HASH)
 
 
-def learning_curve_sizes(folds: DataFrame, class_train: dict, k: int = 5, steps: int = 10,
+def learning_curve_sizes(folds: DataFrame, class_train: dict | None = None, k: int = 5, steps: int = 10,
                          label: str = "label") -> DataFrame:
     """Per (validation fold, step): rows and positives in the growing training subset.
 
@@ -119,8 +125,11 @@ def learning_curve_sizes(folds: DataFrame, class_train: dict, k: int = 5, steps:
     (fold, step) grid gives every subset size without materialising 10 x k copies.
     """
     # entry step: smallest s with train_rank <= floor(s * n_c / steps)
-    nmap = F.create_map(*[F.lit(x) for kv in class_train.items() for x in kv])
-    n_c = F.element_at(nmap, F.col(label))
+    if class_train is None:  # the per-class constant carried by stratified_folds
+        n_c = F.col("class_train")
+    else:
+        nmap = F.create_map(*[F.lit(x) for kv in class_train.items() for x in kv])
+        n_c = F.element_at(nmap, F.col(label))
     entry = F.ceil(F.col("train_rank") * steps / n_c).cast("int")
     # guard the floor: bump when floor(entry*n_c/steps) < rank
     entry = F.when(F.floor(entry * n_c / steps) < F.col("train_rank"), entry + 1).otherwise(entry)

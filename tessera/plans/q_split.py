@@ -42,8 +42,7 @@ def q_kfold(spark, sf):
        "WHERE f.train_rank <= floor(g.step * nc.n_c / 10) GROUP BY g.fold, g.step")
 def q_learning_sizes(spark, sf):
     f = T.stratified_folds(subjects(spark, sf).select("subject_id", "label"), k=5)
-    class_train = T.class_counts(f, "label")
-    return T.learning_curve_sizes(f, class_train, k=5, steps=10)
+    return T.learning_curve_sizes(f, k=5, steps=10)
 
 
 @query("explain_sample", W_SPLIT + "SELECT subject_id, label FROM split WHERE split = 'test' "
