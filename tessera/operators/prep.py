@@ -18,7 +18,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import exact_quantiles
+from tessera.operators.ranks import (distinct_value_counts, exact_quantiles, parallel_buckets,
+                                     quantiles_from_counts, value_buckets)
 
 
 # Fitting helpers ------------------------------------------------------------------------
@@ -92,12 +93,20 @@ def group_median_fill(df: DataFrame, col: str, keys: list[str], fit_on: DataFram
 
     Group medians come from the distributed exact quantile; the (group-count sized) table
     of medians is joined back on the keys (AQE picks broadcast when it is small).
+    Rows with a missing key fall back to the global median.
     """
     fit_on = df if fit_on is None else fit_on
     out = out or col
-    gm = exact_quantiles(fit_on.dropna(subset=keys), [col], [0.5], keys=keys) \
-        .select(*keys, F.col("value").alias("_gmed"))
-    glob = fit_medians(fit_on, [col])[col]
+    # one scan of the fitting rows: distinct (group, value) counts; the group medians read
+    # the rows with complete keys, the global median the counts summed over the groups
+    vc = distinct_value_counts(fit_on, [col], keys)
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    gm = quantiles_from_counts(vc.filter(complete), [0.5], keys).select(*keys, F.col("value").alias("_gmed"))
+    overall = value_buckets(vc.groupBy("col_name", "value").agg(F.sum("c").alias("c")), "value",
+                            parallel_buckets(df.sparkSession), by="col_name")
+    glob = quantiles_from_counts(overall, [0.5]).first()["value"]
     j = df.join(gm, on=keys, how="left")
     cols = [c for c in df.columns if c != out]
     filled = F.coalesce(F.col(col), F.col("_gmed"), F.lit(glob).cast("double"))

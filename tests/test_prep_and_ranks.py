@@ -125,3 +125,16 @@ def test_describe_matches_pandas_edge_columns(spark):
                 assert got[c][k] is None, (c, k)
             else:
                 assert abs(got[c][k] - round(e[name], 6)) <= 1e-6 * max(1.0, abs(e[name])), (c, k)
+
+
+def test_group_median_fill_fallbacks(spark):
+    rows = [("a", 1.0), ("a", 3.0), ("a", None), ("b", 10.0), ("b", 20.0), ("b", 40.0), ("b", None),
+            ("c", None), (None, 100.0), (None, None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    fit_on = df.filter(F.col("g").isNull() | (F.col("g") != "d"))  # group d unseen when fitting
+    out = I.group_median_fill(df, "v", ["g"], fit_on=fit_on).collect()
+    glob = float(np.median([1.0, 3.0, 10.0, 20.0, 40.0, 100.0]))
+    filled = [(r["g"], r["v"]) for r in out]
+    assert filled.count(("a", 2.0)) == 1 and filled.count(("b", 20.0)) == 2
+    # all-null group c, unseen group d and the null key take the global median
+    assert ("c", glob) in filled and ("d", glob) in filled and (None, glob) in filled
