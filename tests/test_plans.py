@@ -50,3 +50,12 @@ def test_columns_pruned(spark, sf_small):
 def test_topk_per_group_is_partial_before_shuffle(spark, sf_small):
     plan = _plan(entry.queries()["topk_scores"](spark, sf_small))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+@pytest.mark.parametrize("key", ["impute_median", "standardise", "onehot_long", "attribution_linear", "profile_describe"])
+def test_fit_then_apply_reads_checkpoint_not_source(spark, sf_small, key):
+    # fitted constants and the returned rows come from checkpointed tables in the shared
+    # folder: the result plan neither rescans the parquet source nor recomputes its join
+    plan = _plan(entry.queries()[key](spark, sf_small))
+    assert "FileScan parquet" not in plan and "Scan parquet" not in plan, key
+    assert "ExistingRDD" in plan, key
