@@ -10,8 +10,9 @@ only by a binary label gives two giant tasks. Instead:
 3. join the offsets back (AQE broadcasts the small side when its measured size allows)
    and finish with a window partitioned by (key, bucket): many balanced tasks.
 
-The result is exact. Hot order values are collapsed before step 1 by the callers
-(pre-aggregation by distinct value), so one value holding a third of the rows is one row.
+The result is exact. Hot order values are collapsed before step 1 (pre-aggregation by
+distinct value, checkpointed), so one value holding a third of the rows is one row, and
+the sketch for the bucket edges reads that collapsed table, not the source.
 """
 
 from __future__ import annotations
