@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.ranks import (distinct_value_counts, exact_quantiles, parallel_buckets,
                                      quantiles_from_counts, value_buckets)
+from tessera.session import checkpointed
 
 
 # Fitting helpers ------------------------------------------------------------------------
@@ -51,7 +52,10 @@ def mode_table(df: DataFrame, cols: list[str], keys: list[str] | None = None) ->
     parts = []
     for _t, group in by_type.items():
         pairs = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).alias("v")) for c in group])
-        long = df.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull())
+        present = F.col("v").isNotNull()
+        if _t in ("double", "float"):
+            present = present & ~F.isnan("v")  # NaN is missing, as in the reference's imputer
+        long = df.select(*keys, F.inline(pairs)).filter(present)
         vc = long.groupBy(*keys, "col_name", "v").agg(F.count(F.lit(1)).alias("n"))
         best = vc.groupBy(*keys, "col_name").agg(
             F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v"))).alias("mode"))
@@ -82,9 +86,59 @@ def fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
                            if v is not None})
 
 
+_NUMERIC_TYPES = ("int", "bigint", "smallint", "tinyint", "double", "float")
+
+
+def fit_medians_and_modes(df: DataFrame, median_cols: list[str], mode_cols: list[str]) -> dict[str, object]:
+    """Exact medians and modes (ties: smallest value in the column's type order) from one scan.
+
+    Every fitted column becomes long rows (kind, column, number, text); one map-side
+    combined aggregation collapses them to distinct values with counts and is checkpointed
+    to the shared folder. Medians are the bucketed exact quantiles over the numeric part,
+    modes a ``min_by`` over (-count, value); NaN counts as missing, as in the other fits.
+    """
+    types = dict(df.dtypes)
+    null_s = F.lit(None).cast("string")
+    recs = []
+    for kind, cols in (("median", median_cols), ("mode", mode_cols)):
+        for c in cols:
+            numeric = kind == "median" or types[c] in _NUMERIC_TYPES
+            v = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+            v = F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+            txt = null_s if numeric else F.col(c).cast("string")
+            recs.append(F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("col_name"), v.alias("v"), txt.alias("s")))
+    if not recs:
+        return {}
+    long = df.select(F.inline(F.array(*recs)))
+    vc = checkpointed(long.groupBy("kind", "col_name", "v", "s").agg(F.count(F.lit(1)).alias("n")))
+    out: dict[str, object] = {}
+    if median_cols:
+        med = vc.filter(F.col("kind") == "median").select(
+            "col_name", F.col("v").alias("value"), F.when(F.col("v").isNull(), F.lit(0)).otherwise(F.col("n")).alias("c"))
+        med = value_buckets(med, "value", parallel_buckets(df.sparkSession), by="col_name")
+        out.update({r["col_name"]: r["value"] for r in quantiles_from_counts(med, [0.5]).collect()})
+    if mode_cols:
+        present = F.col("v").isNotNull() | F.col("s").isNotNull()
+        best = vc.filter((F.col("kind") == "mode") & present).groupBy("col_name").agg(
+            F.min_by(F.struct("v", "s"), F.struct((-F.col("n")).alias("nn"), F.col("v"), F.col("s"))).alias("m"))
+        found = {r["col_name"]: r["m"] for r in best.collect()}
+        for c in mode_cols:
+            m = found.get(c)
+            if m is None:
+                out[c] = None
+            elif types[c] in ("int", "bigint", "smallint", "tinyint"):
+                out[c] = int(m["v"])
+            elif types[c] in ("double", "float"):
+                out[c] = float(m["v"])
+            else:
+                out[c] = m["s"]
+    return out
+
+
 def impute_whole_table(df: DataFrame, median_cols: list[str], mode_cols: list[str]) -> DataFrame:
-    """Median / mode fill fitted on the whole table (the dashboard's leaky variant)."""
-    return fill(df, {**fit_medians(df, median_cols), **fit_modes(df, mode_cols)})
+    """Median / mode fill fitted on the whole table (the dashboard's leaky variant); the
+    fit reads the table once."""
+    return fill(df, fit_medians_and_modes(df, median_cols, mode_cols))
 
 
 def group_median_fill(df: DataFrame, col: str, keys: list[str], fit_on: DataFrame | None = None,
