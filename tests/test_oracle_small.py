@@ -8,7 +8,8 @@ from tessera.sources.tables import TABLES
 
 KEYS = ["profile_describe", "feature_frame", "stratified_split", "stratified_kfold", "impute_median", "onehot_long",
         "roc_auc", "pr_curve", "classification_report", "fairness_audit", "leaderboard", "registry_promote",
-        "rejected_rows", "attribution_breakdown", "learning_curve_sizes", "csv_scan_na"]
+        "rejected_rows", "attribution_breakdown", "learning_curve_sizes", "csv_scan_na", "roc_curve",
+        "assembled_vectors", "impute_group_median", "impute_whole_table"]
 
 
 @pytest.fixture(scope="module")
