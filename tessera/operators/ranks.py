@@ -118,6 +118,8 @@ def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = No
         groups = {r[by]: sorted({float(x) for x in (r["_e"] or []) if x is not None and not math.isnan(x)})
                   if n_buckets > 1 else [] for r in rows}
     names = list(groups)
+    if not names:  # no rows: nothing to place
+        return df.select(*df.columns, F.lit(-1).alias(out))
     tmp_in = [f"_bv{i}" for i in range(len(names))]
     tmp_out = [f"_bb{i}" for i in range(len(names))]
     # Bucketizer wants >= 3 splits; a group without interior edges gets one neutral split

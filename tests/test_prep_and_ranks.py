@@ -150,3 +150,11 @@ def test_one_scan_fit_equals_separate_fits(spark):
     # NaN is missing for modes too: 2.0 (twice) beats NaN (three times)
     nan = spark.createDataFrame([(float("nan"),)] * 3 + [(2.0,), (2.0,), (5.0,)], "w double")
     assert I.fit_modes(nan, ["w"]) == I.fit_medians_and_modes(nan, [], ["w"]) == {"w": 2.0}
+
+
+def test_empty_input_gives_empty_fits(spark):
+    from tessera.operators import profile as P
+    e = spark.createDataFrame([], "a double, b string")
+    assert I.fit_medians(e, ["a"]) == {}
+    assert P.describe(e, ["a"]).count() == 0
+    assert I.fit_medians_and_modes(e, ["a"], ["b"]) == {"b": None}
