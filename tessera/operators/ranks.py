@@ -36,6 +36,17 @@ def parallel_buckets(spark) -> int:
     return max(8, 2 * sp)
 
 
+# Sketch accuracy for bucket edges: 50 per bucket, at most this. The final merge of the
+# partial sketches is one task per column whose cost grows with the accuracy; edges only
+# balance buckets (results stay exact), and at the cap the rank error (1e-5) is a small
+# part of a bucket even with tens of thousands of buckets.
+MAX_SKETCH_ACCURACY = 100_000
+
+
+def sketch_accuracy(n_buckets: int) -> int:
+    return min(MAX_SKETCH_ACCURACY, max(1_000, 50 * n_buckets))
+
+
 def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int | None = None) -> dict[str, list[float]]:
     """Approximate quantile edges per column (one aggregation, sketch-sized result).
 
@@ -43,7 +54,7 @@ def quantile_edges(df: DataFrame, cols: list[str], n_buckets: int, accuracy: int
     follows the bucket count."""
     if n_buckets <= 1:
         return {c: [] for c in cols}
-    accuracy = accuracy or max(1_000, 50 * n_buckets)
+    accuracy = accuracy or sketch_accuracy(n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in cols]).first()
     out = {}
@@ -113,7 +124,7 @@ def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = No
         groups = {None: quantile_edges(df, [value], n_buckets)[value]}
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)] if n_buckets > 1 else [0.5]
-        acc = max(1_000, 50 * n_buckets)
+        acc = sketch_accuracy(n_buckets)
         rows = df.groupBy(by).agg(F.percentile_approx(F.col(value).cast("double"), probs, acc).alias("_e")).collect()
         groups = {r[by]: sorted({float(x) for x in (r["_e"] or []) if x is not None and not math.isnan(x)})
                   if n_buckets > 1 else [] for r in rows}

@@ -158,3 +158,14 @@ def test_empty_input_gives_empty_fits(spark):
     assert I.fit_medians(e, ["a"]) == {}
     assert P.describe(e, ["a"]).count() == 0
     assert I.fit_medians_and_modes(e, ["a"], ["b"]) == {"b": None}
+
+
+def test_exact_quantiles_with_capped_sketch_accuracy(spark):
+    from tessera.operators.ranks import MAX_SKETCH_ACCURACY, sketch_accuracy
+    assert sketch_accuracy(3000) == MAX_SKETCH_ACCURACY  # 50 per bucket would exceed the cap
+    vals = np.random.default_rng(4).lognormal(size=5000)
+    df = spark.createDataFrame(pd.DataFrame({"v": vals}))
+    probs = [0.0, 0.33, 0.5, 0.99, 1.0]
+    q = {r["p"]: r["value"] for r in exact_quantiles(df, ["v"], probs, n_buckets=3000).collect()}
+    for p in probs:
+        assert abs(q[p] - np.quantile(vals, p)) <= 1e-12 * max(1.0, abs(np.quantile(vals, p)))
