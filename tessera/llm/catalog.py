@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tessera.llm.packing import op6_packing
 from tessera.llm.tokenfile import op4_tokenfile
 
 QUERIES = {
     "op4_tokenfile": op4_tokenfile,
+    "op6_packing": op6_packing,
 }
 ORACLES: dict[str, str] = {}
