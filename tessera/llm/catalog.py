@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from tessera.llm.decontam import OP8_SQL, op8_decontam
 from tessera.llm.packing import op6_packing
 from tessera.llm.tokenfile import op4_tokenfile
 
 QUERIES = {
     "op4_tokenfile": op4_tokenfile,
     "op6_packing": op6_packing,
+    "op8_decontam": op8_decontam,
+}
+ORACLES: dict[str, str] = {
+    "op8_decontam": OP8_SQL,
 }
-ORACLES: dict[str, str] = {}
