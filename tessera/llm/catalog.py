@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from tessera.llm.decontam import OP8_SQL, op8_decontam
+from tessera.llm.dedup import op2_icws
 from tessera.llm.packing import op6_packing
 from tessera.llm.tokenfile import op4_tokenfile
 
 QUERIES = {
+    "op2_icws": op2_icws,
     "op4_tokenfile": op4_tokenfile,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
