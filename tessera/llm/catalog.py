@@ -5,6 +5,7 @@ from __future__ import annotations
 from tessera.llm.decontam import OP8_SQL, op8_decontam
 from tessera.llm.dedup import op2_icws
 from tessera.llm.packing import op6_packing
+from tessera.llm.pii import op9_pii
 from tessera.llm.tokenfile import op4_tokenfile
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_tokenfile": op4_tokenfile,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
+    "op9_pii": op9_pii,
 }
 ORACLES: dict[str, str] = {
     "op8_decontam": OP8_SQL,
