@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +25,9 @@ from tessera.llm.common import written
 PRE_TOKEN = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Printable ASCII, line feed and Latin letters: here Python's character classes and the library's agree.
 PLAIN = re.compile("[ -~\nÀ-ÖØ-öø-ɏ]*")
-ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
+CACHE_PARTS = 500_000
 
 
 def default_path() -> str:
@@ -47,7 +49,9 @@ class IdEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.pieces: dict[str, bytes] = {}
@@ -56,38 +60,63 @@ class IdEncoder:
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            shown = part.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
-            self.parts[part] = ids
+            if part.isascii() and part[1:].isalpha():
+                shown = "Ġ" + part[1:] if part[0] == " " else part
+            else:
+                shown = part.encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[part] = self._bytes([t.id for t in self.model.tokenize(shown)])
         return ids
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder != "little":
+            out.byteswap()
+        return out.tobytes()
+
     def _piece(self, piece: str) -> bytes:
         if PLAIN.fullmatch(piece):
             return b"".join(map(self._part, PRE_TOKEN.findall(piece)))
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
         if any(s in text for s in self.specials):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-        # The first piece has no space before it; a later piece is cached without its space, so marked apart.
-        first, *rest = CUT.split(text) if ODD_SPACE.search(text) else text.split(" ")
+        # A later piece is cached without the space that opens it.
+        first, *rest = text.split(" ")
         got = [*map(self.pieces.get, rest)]
         if None in got:
-            for k, ids in enumerate(got):
-                if ids is None:
-                    piece = rest[k]
-                    ids = self.pieces.get(piece)
-                    if ids is None:
-                        ids = self.pieces[piece] = self._piece(" " + piece)
-                    got[k] = ids
-            if len(self.pieces) > CACHE_PIECES:
-                self.pieces.clear()
-            if len(self.parts) > CACHE_PIECES:
-                self.parts.clear()
+            if not self._learn(first, rest, got):
+                first, *rest = CUT.split(text)
+                got = [self._piece(" " + piece) for piece in rest]
+        elif not first or first[-1].isspace():
+            first, *rest = CUT.split(text)
+            got = [self._piece(" " + piece) for piece in rest]
         return np.frombuffer(self._piece(first) + b"".join(got), self.dtype)
 
+    def _learn(self, first: str, rest: list[str], got: list) -> bool:
+        """Fill in the pieces not yet known. False if a space has another white space beside it (or an end of the
+        text), where pieces aren't independent; such pieces are never cached, so each such text comes here."""
+        if rest and (not first or first[-1].isspace()):
+            return False
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
+        for k, ids in enumerate(got):
+            if ids is None:
+                piece = rest[k]
+                ids = self.pieces.get(piece)
+                if ids is None:
+                    if not piece or piece[0].isspace() or (piece[-1].isspace() and k < len(rest) - 1):
+                        return False
+                    ids = self._piece(" " + piece)
+                    if not piece[-1].isspace():
+                        self.pieces[piece] = ids
+                got[k] = ids
+        return True
+
 
 _ENCODERS: dict[str, IdEncoder] = {}
 
