@@ -401,8 +401,10 @@ def listed(spans: str):
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of base spans, their digest, and all spans, of every document."""
     found = personal_spans(read(spark, sf_dir, "documents", "doc_id", "text"))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *count, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
