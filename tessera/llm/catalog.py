@@ -6,14 +6,17 @@ from tessera.llm.decontam import OP8_SQL, op8_decontam
 from tessera.llm.dedup import op2_icws
 from tessera.llm.packing import op6_packing
 from tessera.llm.pii import op9_pii
+from tessera.llm.quality import op10_quality
 from tessera.llm.tokenfile import op4_tokenfile
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_icws": op2_icws,
     "op4_tokenfile": op4_tokenfile,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {
     "op8_decontam": OP8_SQL,
