@@ -1,9 +1,10 @@
 """Token ids of whole texts with a public byte-level BPE file of the ``tokenizers`` library.
 
-The library's full ``encode`` spends most of its time on offsets and alignment that ids don't need. Pre-tokens never
-span a single space between two non-space characters (the space opens the next pre-token), so a text is cut there
-and each distinct piece is encoded once per worker: plain Latin pieces through the library's own BPE model, anything
-else through its full ``encode``. The ids equal ``encode(text, add_special_tokens=False)``.
+The library's full ``encode`` spends most of its time on offsets and alignment that ids don't need. Ids depend on each
+pre-token alone, so texts of plain Latin characters are cut into pre-tokens here and each distinct one goes once per
+worker through the library's own BPE model. In other texts, pieces between single spaces (no pre-token spans one between two
+non-space characters: the space opens the next) go the same way if plain, else through the full ``encode``. The ids
+equal ``encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
-#: The pre-token rule of the byte-level file, for texts of the plain characters below.
-PRE_TOKEN = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Printable ASCII, line feed and Latin letters: here Python's character classes and the library's agree.
-PLAIN = re.compile("[ -~\nÀ-ÖØ-öø-ɏ]*")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: Printable ASCII, line feed and Latin letters: here the pre-token rule of the byte-level file needs no more than the
+#: character ranges below.
+PLAIN = re.compile(f"[ -~\n{LETTERS}]*")
+PRE_TOKEN = re.compile(f" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[!-/:-@\\[-`{{-~]+|[ \n]+(?![^ \n])|[ \n]+")
 CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_PIECES = 1_000_000
-CACHE_PARTS = 500_000
+CACHE_PARTS = 1_000_000
 
 
 def default_path() -> str:
@@ -54,68 +55,48 @@ class IdEncoder:
         self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            if part.isascii() and part[1:].isalpha():
-                shown = "Ġ" + part[1:] if part[0] == " " else part
-            else:
-                shown = part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = self._bytes([t.id for t in self.model.tokenize(shown)])
-        return ids
-
     def _bytes(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
         if sys.byteorder != "little":
             out.byteswap()
         return out.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if PLAIN.fullmatch(piece):
-            return b"".join(map(self._part, PRE_TOKEN.findall(piece)))
-        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+    def _learn(self, part: str) -> bytes:
+        """Ids of a pre-token of plain characters, by the library's BPE model."""
+        if part.isascii() and part[1:].isalpha():
+            shown = "Ġ" + part[1:] if part[0] == " " else part
+        else:
+            shown = part.encode().decode("latin-1").translate(self.letters)
+        if len(self.parts) >= CACHE_PARTS:
+            self.parts.clear()
+        ids = self.parts[part] = self._bytes([t.id for t in self.model.tokenize(shown)])
+        return ids
+
+    def _plain(self, text: str) -> bytes:
+        parts = PRE_TOKEN.findall(text)
+        got = [*map(self.parts.get, parts)]
+        if None in got:
+            known, learn = self.parts.get, self._learn
+            got = [known(part) or learn(part) if ids is None else ids for part, ids in zip(parts, got)]
+        return b"".join(got)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
         if any(s in text for s in self.specials):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-        # A later piece is cached without the space that opens it.
-        first, *rest = text.split(" ")
-        got = [*map(self.pieces.get, rest)]
-        if None in got:
-            if not self._learn(first, rest, got):
-                first, *rest = CUT.split(text)
-                got = [self._piece(" " + piece) for piece in rest]
-        elif not first or first[-1].isspace():
+            ids = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        elif PLAIN.fullmatch(text):
+            ids = self._plain(text)
+        else:
+            # Plain stretches of the text go the plain way, the rest through the library's whole encoder.
             first, *rest = CUT.split(text)
-            got = [self._piece(" " + piece) for piece in rest]
-        return np.frombuffer(self._piece(first) + b"".join(got), self.dtype)
-
-    def _learn(self, first: str, rest: list[str], got: list) -> bool:
-        """Fill in the pieces not yet known. False if a space has another white space beside it (or an end of the
-        text), where pieces aren't independent; such pieces are never cached, so each such text comes here."""
-        if rest and (not first or first[-1].isspace()):
-            return False
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-        if len(self.parts) > CACHE_PARTS:
-            self.parts.clear()
-        for k, ids in enumerate(got):
-            if ids is None:
-                piece = rest[k]
-                ids = self.pieces.get(piece)
-                if ids is None:
-                    if not piece or piece[0].isspace() or (piece[-1].isspace() and k < len(rest) - 1):
-                        return False
-                    ids = self._piece(" " + piece)
-                    if not piece[-1].isspace():
-                        self.pieces[piece] = ids
-                got[k] = ids
-        return True
+            ids = b"".join(
+                self._plain(piece) if PLAIN.fullmatch(piece)
+                else self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+                for piece in (first, *(" " + piece for piece in rest)))
+        return np.frombuffer(ids, self.dtype)
 
 
 _ENCODERS: dict[str, IdEncoder] = {}
