@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from tessera.llm.decontam import OP8_SQL, op8_decontam
 from tessera.llm.dedup import op2_icws
+from tessera.llm.langid import op5_langid
 from tessera.llm.packing import op6_packing
 from tessera.llm.pii import op9_pii
 from tessera.llm.quality import op10_quality
 from tessera.llm.tokenfile import op4_tokenfile
+from tessera.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_icws": op2_icws,
     "op4_tokenfile": op4_tokenfile,
+    "op5_langid": op5_langid,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,

@@ -44,21 +44,18 @@ def best_cuts(positions: list[int], penalties: list[int], window: int, sequence_
     n = len(positions)
     cost, back = [0] * n, [0] * n
     queue, keys, head = [0], [0], 0
-    index = {positions[0]: 0}
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
+    froms, first = power_pairs(np.array(positions), window)
     for j in range(1, n):
         p = positions[j]
         while positions[queue[head]] < p - window:
             head += 1
         i = queue[head]
         best = keys[head] + window - p
-        for length in powers:
-            k = index.get(p - length)
-            if k is not None and cost[k] < best:
+        for k in froms[first[j]: first[j + 1]]:
+            if cost[k] < best:
                 best, i = cost[k], k
         cost[j] = best = best + penalties[j] + sequence_cost
         back[j] = i
-        index[p] = j
         best += p
         while len(queue) > head and keys[-1] >= best:
             queue.pop()
@@ -71,6 +68,21 @@ def best_cuts(positions: list[int], penalties: list[int], window: int, sequence_
     return cuts[::-1]
 
 
+def power_pairs(positions: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """For each position, the positions that lie a power of two below ``window`` before it: their indices, and where
+    each position's own begin."""
+    to, froms = [], []
+    for length in (1 << k for k in range(window.bit_length()) if 1 << k < window):
+        at = np.searchsorted(positions, positions - length)
+        hit = np.flatnonzero(positions[at] == positions - length)
+        to.append(hit)
+        froms.append(at[hit])
+    to, froms = np.concatenate(to), np.concatenate(froms)
+    order = np.argsort(to, kind="stable")
+    first = np.searchsorted(to[order], np.arange(len(positions) + 1))
+    return froms[order].tolist(), first.tolist()
+
+
 class SentenceEnds:
     """Finds sentence ends in ids: a token that closes a sentence, before one that opens a word or line."""
 
