@@ -47,21 +47,50 @@ def default_path() -> str:
 
 
 class Vocabulary:
-    """Piece text -> number, of at most ``MAX_PIECE`` characters, and the number of each byte piece."""
+    """Pieces of at most ``MAX_PIECE`` characters by a 64-bit hash of their characters, and the byte pieces."""
 
     def __init__(self, path: str):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.pieces: dict[str, int] = {}
+        self.size = model.get_piece_size()
         self.bytes = np.zeros(256, np.int64)
-        size = model.get_piece_size()
-        for i in range(size):
+        pieces, number = [], []
+        for i in range(self.size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(piece[1:-1], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and len(piece) <= MAX_PIECE:
-                self.pieces[piece] = i
-        self.size = size
+                pieces.append(piece)
+                number.append(i)
+        hashes = np.empty(len(pieces), np.uint64)
+        for k, piece in enumerate(pieces):
+            h = np.zeros(1, np.uint64)
+            for c in code_points(piece):
+                h = step(h, c)
+            hashes[k] = h[0]
+        order = np.argsort(hashes)
+        self.hashes, self.number = hashes[order], np.array(number, np.int64)[order]
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Piece number of each hash, -1 if none."""
+        out = np.full(len(hashes), -1, np.int64)
+        some = np.flatnonzero(self.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
+        hit = self.hashes[at] == hashes[some]
+        out[some[hit]] = self.number[at[hit]]
+        return out
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def step(h: np.ndarray, c) -> np.ndarray:
+    """Hash of a string and one more character."""
+    h = (h ^ (c + np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -82,35 +111,39 @@ def text_words(text: str) -> list[str]:
 
 
 class Lattice:
-    """All segmentations of some words into pieces: arcs (word, from, to, piece), sorted by end. A character without a
-    piece gives one arc that stands for its byte pieces (``spelt``)."""
+    """All segmentations of some words into pieces, as arcs (word, from, to, piece). A character without a piece gives one
+    arc that stands for its byte pieces: piece -1 - k for ``spelt[k]``."""
 
     def __init__(self, words: list[str], vocab: Vocabulary):
-        pieces, arcs, spelt = vocab.pieces, [], []
+        self.n = len(words)
         self.length = np.array([len(w) + 1 for w in words], np.int64)
-        for k, word in enumerate(words):
-            marked = MARK + word
-            n = len(marked)
-            for a in range(n):
-                for b in range(a + 1, min(n, a + MAX_PIECE) + 1):
-                    piece = pieces.get(marked[a:b])
-                    if piece is not None:
-                        arcs.append((k, a, b, piece))
-                    elif b == a + 1:
-                        raw = marked[a].encode("utf-8", "surrogatepass")
-                        arcs.append((k, a, b, -1 - len(spelt)))
-                        spelt.append(vocab.bytes[list(raw)])
-        arcs = np.array(arcs, np.int64).reshape(-1, 4)
-        self.arcs = arcs[np.argsort(arcs[:, 2], kind="stable")]
-        self.spelt = spelt
-        top = int(self.length.max()) if len(words) else 0
-        self.by_end = np.searchsorted(self.arcs[:, 2], np.arange(top + 2))
-        self.top, self.n = top, len(words)
+        chars = code_points("".join(MARK + w for w in words))
+        first = np.cumsum(self.length) - self.length
+        word = np.repeat(np.arange(self.n), self.length)
+        place = np.arange(len(chars)) - first[word]
+        room = self.length[word] - place  # characters from here to the word's end
+        h, parts = np.zeros(len(chars), np.uint64), []
+        at = np.arange(len(chars))
+        for size in range(1, MAX_PIECE + 1):
+            at = at[room[at] >= size]
+            h[at] = step(h[at], chars[at + size - 1])
+            piece = vocab.find(h[at])
+            if size == 1:
+                odd, which = np.unique(chars[at[piece < 0]], return_inverse=True)
+                self.spelt = [vocab.bytes[list(chr(int(c)).encode("utf-8", "surrogatepass"))] for c in odd]
+                piece[piece < 0] = -1 - which
+                keep = slice(None)
+            else:
+                keep = piece >= 0
+            parts.append(np.column_stack([word[at[keep]], place[at[keep]], place[at[keep]] + size, piece[keep]]))
+        arcs = np.concatenate(parts)
+        self.arcs = arcs[np.lexsort((arcs[:, 0], arcs[:, 2]))]  # by end, then word
+        self.top = int(self.length.max()) if self.n else 0
 
     def arc_scores(self, log_p: np.ndarray) -> np.ndarray:
         """(arc, language) log-probabilities; ``log_p`` is (language, piece)."""
         piece = self.arcs[:, 3]
-        out = log_p[:, np.maximum(piece, 0)].T.copy()
+        out = log_p.T[np.maximum(piece, 0)]
         if self.spelt:
             odd = np.flatnonzero(piece < 0)
             sums = np.array([log_p[:, ids].sum(1) for ids in self.spelt])
@@ -121,10 +154,13 @@ class Lattice:
         """(word, place, language): log-sum over segmentations of the word up to each place."""
         alpha = np.full((self.n, self.top + 1, scores.shape[1]), -np.inf)
         alpha[:, 0] = 0
+        cut = np.searchsorted(self.arcs[:, 2], np.arange(self.top + 2))
         for b in range(1, self.top + 1):
-            rows = slice(self.by_end[b], self.by_end[b + 1])
+            rows = slice(cut[b], cut[b + 1])
             word, a = self.arcs[rows, 0], self.arcs[rows, 1]
-            alpha[:, b] = log_sums(alpha[word, a] + scores[rows], word, self.n)
+            if len(word):
+                some, sums = log_sums(alpha[word, a] + scores[rows], word)
+                alpha[some, b] = sums
         return alpha
 
     def totals(self, log_p: np.ndarray) -> np.ndarray:
@@ -133,39 +169,33 @@ class Lattice:
             return np.zeros((0, len(log_p)))
         return self.forward(self.arc_scores(log_p))[np.arange(self.n), self.length]
 
-    def expected(self, log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(arc, language) posterior probability that a word's segmentation uses the arc, and the arcs."""
+    def expected(self, log_p: np.ndarray) -> np.ndarray:
+        """(arc, language): posterior probability that a word's segmentation uses the arc."""
         scores = self.arc_scores(log_p)
         alpha = self.forward(scores)
         total = alpha[np.arange(self.n), self.length]
         beta = np.full_like(alpha, -np.inf)
         beta[np.arange(self.n), self.length] = 0
-        back = np.argsort(self.arcs[:, 1], kind="stable")
-        starts = np.searchsorted(self.arcs[back, 1], np.arange(self.top + 2))
+        back = np.lexsort((self.arcs[:, 0], self.arcs[:, 1]))
+        cut = np.searchsorted(self.arcs[back, 1], np.arange(self.top + 2))
         for a in range(self.top - 1, -1, -1):
-            rows = back[starts[a]: starts[a + 1]]
-            word, b = self.arcs[rows, 0], self.arcs[rows, 2]
-            got = log_sums(beta[word, b] + scores[rows], word, self.n)
-            inside = (a < self.length)[:, None]
-            beta[:, a] = np.where(inside, got, beta[:, a])
+            rows = back[cut[a]: cut[a + 1]]
+            if len(rows):
+                word, b = self.arcs[rows, 0], self.arcs[rows, 2]
+                some, sums = log_sums(beta[word, b] + scores[rows], word)
+                beta[some, a] = sums
         word = self.arcs[:, 0]
         return np.exp(alpha[word, self.arcs[:, 1]] + scores + beta[word, self.arcs[:, 2]] - total[word])
 
 
-def log_sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
-    """log(sum(exp)) of rows by group, -inf for a group without any."""
-    out = np.full((n, values.shape[1]), -np.inf)
-    if len(group):
-        order = np.argsort(group, kind="stable")
-        group, values = group[order], values[order]
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        most = np.maximum.reduceat(values, first, axis=0)
-        safe = np.where(np.isfinite(most), most, 0)
-        part = np.diff(np.append(first, len(group)))
-        sums = np.add.reduceat(np.exp(values - np.repeat(safe, part, axis=0)), first, axis=0)
-        with np.errstate(divide="ignore"):
-            out[group[first]] = np.log(sums) + safe
-    return out
+def log_sums(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(groups, log(sum(exp)) of their rows) of rows sorted by group; every place of a word is reached by some arc, so
+    all values are finite."""
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    most = np.maximum.reduceat(values, first, axis=0)
+    part = np.diff(np.append(first, len(group)))
+    sums = np.add.reduceat(np.exp(values - np.repeat(most, part, axis=0)), first, axis=0)
+    return group[first], np.log(sums) + most
 
 
 class Model:
