@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -95,9 +95,9 @@ def necessary_prefixes(shingles: DataFrame, counts: DataFrame) -> DataFrame:
             .select("words", "size", "items", "hash", "length", "offset"))
 
 
-def candidate_places(docs: DataFrame, packed: np.ndarray, bits: int, lengths: list[int], window: int,
-                     shingle: int) -> DataFrame:
-    """(row, doc_id, n_words, places): one row a document; places of shingles that the bitmap lets through, with the
+def candidate_places(docs: DataFrame, packed: np.ndarray, bits: int, lengths: list[int], window: int, shingle: int,
+                     key: Column) -> DataFrame:
+    """(row, doc_id, key, n_words, places): one row a document; places of shingles that the bitmap lets through, with the
     words around that a window could cover."""
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -115,16 +115,19 @@ def candidate_places(docs: DataFrame, packed: np.ndarray, bits: int, lengths: li
                         base = int(text.first[doc])
                         places[doc].append({"hash": value, "length": k, "at": place - base, "from": a - base,
                                             "near": text.words(a, b)})
-                yield pd.DataFrame({"doc_id": part["doc_id"], "n_words": text.counts, "places": places})
+                yield pd.DataFrame({"doc_id": part["doc_id"], "key": part["key"], "n_words": text.counts, "places": places})
 
-    schema = ("doc_id string, n_words long, places array<struct<hash: long, length: int, at: long, `from`: long, "
+    schema = ("doc_id string, key string, n_words long, places array<struct<hash: long, length: int, at: long, `from`: long, "
               "near: array<string>>>")
-    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(find, schema).withColumn(
+    return docs.select(F.col("doc_id").cast("string"), "text", key.alias("key")).mapInPandas(find, schema).withColumn(
         "row", F.monotonically_increasing_id())
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """One row a document: doc_id, n_words, n_hit, items (sorted as text), spans (first word, end) of the windows."""
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
+                  key: Column | None = None) -> DataFrame:
+    """One row a document: doc_id, key (the given text expression over the documents, null without one), n_words, n_hit,
+    items (sorted as text), spans (first word, end) of the windows."""
+    key = F.lit(None).cast("string") if key is None else key
     windows = written(item_windows(benchmark, window), "benchmark-windows")
     shingles = written(window_shingles(windows, shingle), "benchmark-shingles")
     sizes = shingles.groupBy("length").count().collect()  # a row a shingle length: ``shingle`` at most
@@ -136,7 +139,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     lengths = sorted(r["length"] for r in sizes)
     packed, bits = bitmap(prefixes, sum(r["count"] for r in sizes))
     # Written once: row numbers stay the same from here on.
-    found = written(candidate_places(docs, packed, bits, lengths, window, shingle), "candidate-places")
+    found = written(candidate_places(docs, packed, bits, lengths, window, shingle, key), "candidate-places")
     places = found.select("row", "n_words", F.explode("places").alias("p")).select("row", "n_words", "p.*")
     first = F.col("at") - F.col("offset")
     verified = (places.join(prefixes, ["hash", "length"]).withColumn("first", first)
@@ -149,8 +152,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     hits = verified.withColumn("fresh", fresh).groupBy("row").agg(
         F.sum("fresh").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans"))
-    return found.select("row", "doc_id", "n_words").join(hits, "row", "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+    return found.select("row", "doc_id", "key", "n_words").join(hits, "row", "left").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans")
 
 

@@ -242,7 +242,6 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(row, doc_id, text_key, class, class_id, class_size, keep) for each document of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
     idf = inverse_frequencies(docs)
     rows = signatures(docs, idf)
     # One node a distinct text: its smallest row.
