@@ -9,11 +9,13 @@ from tessera.llm.packing import op6_packing
 from tessera.llm.pii import op9_pii
 from tessera.llm.quality import op10_quality
 from tessera.llm.tokenfile import op4_tokenfile
+from tessera.llm.topk import OP3_SQL, op3_pivots
 from tessera.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_icws": op2_icws,
+    "op3_pivots": op3_pivots,
     "op4_tokenfile": op4_tokenfile,
     "op5_langid": op5_langid,
     "op6_packing": op6_packing,
@@ -22,5 +24,6 @@ QUERIES = {
     "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {
+    "op3_pivots": OP3_SQL,
     "op8_decontam": OP8_SQL,
 }
