@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm.chat import op7_chat
 from tessera.llm.decontam import OP8_SQL, op8_decontam
 from tessera.llm.dedup import op2_icws
 from tessera.llm.langid import op5_langid
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_tokenfile": op4_tokenfile,
     "op5_langid": op5_langid,
     "op6_packing": op6_packing,
+    "op7_chat": op7_chat,
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
