@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, written
+from tessera.llm.common import fresh, read, written
 from tessera.llm.decontam import contaminated, contamination
 from tessera.llm.dedup import drop_near_duplicates, sized, text_key
 from tessera.llm.packing import pack_documents
@@ -40,9 +40,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = contamination(docs.select("doc_id", "text"), benchmark, key=text_key())
     gone = written(found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id", "key").distinct(),
                    "contaminated")
-    left = docs.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("d"), text_key().alias("t")))
-    same = F.col("_key.d").eqNullSafe(gone["doc_id"]) & F.col("_key.t").eqNullSafe(gone["key"])
-    return left.join(sized(gone), same, "left_anti").drop("_key")
+    key = fresh(docs, "_key")
+    left = docs.withColumn(key, F.struct(F.col("doc_id").cast("long").alias("d"), text_key().alias("t")))
+    same = F.col(f"{key}.d").eqNullSafe(gone["doc_id"]) & F.col(f"{key}.t").eqNullSafe(gone["key"])
+    return left.join(sized(gone), same, "left_anti").drop(key)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,11 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

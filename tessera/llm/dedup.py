@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, written
+from tessera.llm.common import fresh, read, written
 from tessera.llm.graph import components
 from tessera.llm.hashing import PLACE_VALUES, Words, groups, mix
 
@@ -294,11 +294,12 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     gone = written(own.filter("not keep").select("doc_id", "text_key"), "gone")
     twice = written(own.filter("keep and n > 1").select("doc_id", "text_key"), "repeated")
     # Null texts and ids are each a class of their own, so never gone unless repeated as wholes.
-    left = docs.withColumn("_key", F.struct(F.col("doc_id").cast("long").alias("d"), text_key().alias("t")))
-    same = lambda k: F.col("_key.d").eqNullSafe(k["doc_id"]) & F.col("_key.t").eqNullSafe(k["text_key"])
+    key = fresh(docs, "_key")
+    left = docs.withColumn(key, F.struct(F.col("doc_id").cast("long").alias("d"), text_key().alias("t")))
+    same = lambda k: F.col(f"{key}.d").eqNullSafe(k["doc_id"]) & F.col(f"{key}.t").eqNullSafe(k["text_key"])
     once = left.join(sized(gone), same(gone), "left_anti").join(sized(twice), same(twice), "left_anti")
-    again = left.join(sized(twice), same(twice), "left_semi").dropDuplicates(["_key"])
-    return once.unionByName(again).drop("_key")
+    again = left.join(sized(twice), same(twice), "left_semi").dropDuplicates([key])
+    return once.unionByName(again).drop(key)
 
 
 def op2_icws(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,8 +163,8 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, tokenizer_path: str |
                 cut = max(0, done - int(begins[k]))
                 rest.append((doc_id, start + cut, total, ids[cut:]))
             held, size = rest, at - done
-            return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset",
-                                               "ids"]).astype({"doc_id": "Int64"})
+            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"], dtype=object)
+            return out.assign(doc_id=pd.array(out["doc_id"].tolist(), "Int64"))
 
         for pdf in batches:
             for doc_id, raw, width in zip(pdf["doc_id"], pdf["ids"], pdf["id_bytes"]):

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches, fold, read
+from tessera.llm.common import bounded_batches, fold, fresh, read
 from tessera.llm.hashing import Words, groups
 from tessera.llm.learning import Adam, labelled_sample, learns, sigmoid
 
@@ -171,21 +171,22 @@ def score_column(sent):
     return F.pandas_udf(score, "double")("text")
 
 
-def quality_scores(docs: DataFrame, model: BagModel) -> DataFrame:
-    """``docs`` with ``_score``."""
+def quality_scores(docs: DataFrame, model: BagModel, name: str) -> DataFrame:
+    """``docs`` with the score in column ``name``."""
     bounded_batches(docs.sparkSession)
-    return docs.withColumn("_score", score_column(docs.sparkSession.sparkContext.broadcast(model)))  # a few KB
+    return docs.withColumn(name, score_column(docs.sparkSession.sparkContext.broadcast(model)))  # a few KB
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (all columns) without the rows whose score is below the threshold."""
-    return quality_scores(docs, fit_quality(docs, labels)).filter(F.col("_score") >= threshold).drop("_score")
+    score = fresh(docs, "_score")
+    return quality_scores(docs, fit_quality(docs, labels), score).filter(F.col(score) >= threshold).drop(score)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; predicted at 0.3."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     model = fit_quality(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality_scores(docs, model).select(
-        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    return quality_scores(docs, model, "score").select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

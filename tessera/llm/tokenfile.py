@@ -6,7 +6,7 @@ code and writes blocks of whole documents in ascending ``doc_id``; ``read_token_
 A file set is a folder of three Parquet tables (any store that Spark writes to):
 
 * ``codebook``  (id, length): the code lengths; canonical order (length, id) fixes the codes.
-* ``blocks``    one row a block: shard, block, start (tokens before it in its shard), doc_ids, doc_tokens, the bits
+* ``blocks``    one row a block: shard, block, start (tokens before it in its shard), doc_ids (as text), doc_tokens, the bits
   of all its ids, and ``checkpoints``, the bit offset of every ``STEP``-th id as little-endian 32-bit integers. A block
   needs nothing but the codebook: it is decoded by table lookup, one lane from each checkpoint, all lanes at once.
 * ``manifest``  (shard, start): tokens before each shard in the whole set.
@@ -33,7 +33,7 @@ from tessera.session import new_scratch_path
 MAX_LENGTH = 16
 BLOCK_TOKENS = 1 << 18
 STEP = 128
-BLOCK_SCHEMA = ("shard int, block int, start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
+BLOCK_SCHEMA = ("shard int, block int, start long, n_tokens long, doc_ids array<string>, doc_tokens array<long>, "
                 "bits binary, checkpoints binary")
 
 
@@ -158,7 +158,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
 
         for pdf in batches:
             for doc_id, raw, width in zip(pdf["doc_id"], pdf["ids"], pdf["id_bytes"]):
-                held_ids.append(None if doc_id is None else int(doc_id))
+                held_ids.append(doc_id)
                 held.append(unzipped(raw, width, unzip))
                 size += len(held[-1])
                 if size >= BLOCK_TOKENS:
@@ -195,7 +195,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(sizes)
                 raw = got.tobytes()
                 yield pd.DataFrame({"shard": row.shard, "local": row.start + ends - sizes, "n_tokens": sizes,
-                                    "doc_id": pd.array([None if pd.isna(x) else int(x) for x in row.doc_ids], "Int64"),
+                                    "doc_id": pd.array([None if x is None else int(x) for x in row.doc_ids], "Int64"),
                                     "ids": [raw[4 * (e - s): 4 * e] for s, e in zip(sizes.tolist(), ends.tolist())]})
 
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks").select(

@@ -125,7 +125,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             for row in pdf.itertuples():
                 q, x = unpacked(row, "q"), unpacked(row, "x")
                 least = np.full(len(q["ids"]), np.iinfo(np.int64).min)
-                known = np.array(by_dim.get(row.q_dim, []), np.int64).reshape(-1, q["v"].shape[1])
+                known = by_dim.get(row.q_dim, [])
+                known = np.array(known, np.int64).reshape(len(known), row.q_dim)
                 if len(known) > k:  # one of them may be the query itself: its (k + 1)-th score is sure
                     kind = exact_type(q["v"].shape[1], max(np.abs(q["v"]).max(initial=0), np.abs(known).max(initial=0)))
                     least = -np.partition(-(q["v"].astype(kind) @ known.T.astype(kind)), k, axis=1)[:, k].astype(np.int64)
