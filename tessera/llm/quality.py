@@ -65,7 +65,10 @@ def passages(texts: list) -> tuple[np.ndarray, np.ndarray]:
     first_word = found.first[:-1][doc] + k * PASSAGE
     begin = np.where(k > 0, np.append(found.starts, 0)[np.minimum(first_word, len(found.starts))], offset[doc])
     which = np.repeat(np.arange(len(doc)), np.diff(np.append(begin, len(raw))))
-    shares = np.bincount(which * CLASSES + BYTE_CLASS[raw], minlength=len(doc) * CLASSES).reshape(-1, CLASSES).astype(np.float32)
+    kind = BYTE_CLASS[raw]
+    kind[offset[1:] - 1] = CLASSES  # what joins the texts belongs to none
+    shares = np.bincount(which * (CLASSES + 1) + kind, minlength=len(doc) * (CLASSES + 1))
+    shares = shares.reshape(-1, CLASSES + 1)[:, :CLASSES].astype(np.float32)
     shares /= np.maximum(shares.sum(1, keepdims=True), 1)
     words = np.minimum(found.counts[doc] - k * PASSAGE, PASSAGE).clip(0)
     passage = np.repeat(np.arange(len(doc)), words)

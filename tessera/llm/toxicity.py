@@ -29,7 +29,8 @@ from tessera.llm.learning import Adam, labelled_sample, learns, sigmoid
 WINDOW, STRIDE = 64, 48
 HIDDEN, ATTENTION = 8, 8
 WORD_ROWS, CHAR_ROWS, WORD_DIM, CHAR_DIM = 1 << 15, 1 << 13, 8, 6
-TRAIN_DOCS, TRAIN_CHARS, EPOCHS, RATE = 2000, 20_000, 18, 0.02
+TRAIN_DOCS, TRAIN_CHARS, EPOCHS, RATE = 3000, 20_000, 12, 0.02
+MIN_DOCS, CHANCE, DECAY = 8, 3.0, 3e-3
 BLOCK = 2048
 
 
@@ -205,9 +206,10 @@ def window_words(inputs: Inputs, at: np.ndarray) -> np.ndarray:
 
 
 def train(sample: pd.DataFrame, epochs: int = EPOCHS, rate: float = RATE, seed: int = 11) -> Network:
-    """Fit the network on (text, y). The word table's first channel starts at the word's log-odds in the sample (by
-    documents, 0 for words in fewer than three), which tells early epochs which window to learn from."""
+    """Fit the network on (text, y). The word table's first channel is the word's
+    association with the label in the sample (by documents), which also tells early epochs which window to learn from."""
     net = Network(seed)
+    sample = sample.drop_duplicates()  # copies of a text would make all its words look telling
     y = sample["y"].to_numpy(np.float32)
     net.prior = float((y.sum() + 1) / (len(y) + 2)) if len(y) else 0.5
     if len(np.unique(y)) < 2:
@@ -220,8 +222,10 @@ def train(sample: pd.DataFrame, epochs: int = EPOCHS, rate: float = RATE, seed:
     docs, rows = pairs // WORD_ROWS, pairs % WORD_ROWS
     pos = np.bincount(rows, weights=y[docs], minlength=WORD_ROWS)
     neg = np.bincount(rows, minlength=WORD_ROWS) - pos
-    odds = np.log((pos + 1) / (y.sum() + 2)) - np.log((neg + 1) / (len(y) - y.sum() + 2))
-    net.p["word"][:, 0] = odds * np.clip((pos + neg - 2) / 6, 0, 1)
+    # A word must be in MIN_DOCS texts to have a vector of its own; what is rarer, or new, is read by its characters alone.
+    known = (pos + neg >= MIN_DOCS).astype(np.float32)[:, None]
+    net.p["word"] *= known
+    net.p["word"][:, 0] = association(pos, neg, y.sum(), len(y) - y.sum()) * known[:, 0]
     adam = Adam(net.p, rate)
     rng = np.random.default_rng(seed)
     firsts = np.flatnonzero(np.diff(inputs.doc, prepend=-1))
@@ -240,12 +244,28 @@ def train(sample: pd.DataFrame, epochs: int = EPOCHS, rate: float = RATE, seed:
             x = inputs.vectors(net.p, words)
             logit, kept = net.forward(net.tables(x), place.reshape(len(at), WINDOW), inputs.size[at], keep=True)
             grads = net.backward((sigmoid(logit) - y[doc]) / len(at), kept, x, inputs, words)
+            grads["word"] *= known
+            grads["word"][:, 0] = 0  # fixed: else one noisy label makes any word of its text telling
+            grads["char"] += DECAY * net.p["char"]
+            grads["word"][:, 1:] += DECAY * net.p["word"][:, 1:]
             for name in ("in_f", "in_b", "rec_f", "rec_b", "att", "out"):
                 grads[name] += 1e-4 * net.p[name]
             adam.update(grads)
     return net
 
 
+def association(pos: np.ndarray, neg: np.ndarray, positives: float, negatives: float) -> np.ndarray:
+    """Signed root of the log-likelihood ratio of a word with the label, less what chance often gives."""
+    share = (pos + neg) / (positives + negatives)
+    root = np.zeros(len(pos))
+    for seen, whole in ((pos, positives), (neg, negatives)):
+        for count, expected in ((seen, whole * share), (whole - seen, whole * (1 - share))):
+            root += np.where(count > 0, count * np.log(np.maximum(count, 1e-9) / np.maximum(expected, 1e-9)), 0)
+    root = np.sqrt(np.maximum(2 * root, 0))
+    sign = np.sign(pos * negatives - neg * positives)
+    return np.clip(sign * np.maximum(root - CHANCE, 0) / 2, -4, 4)
+
+
 def word_counts(inputs: Inputs, docs: int) -> np.ndarray:
     """Words of each text, from its windows."""
     out = np.zeros(docs, np.int64)

@@ -110,7 +110,9 @@ def test_bag_gradients():
 
 def test_passages_of_edge_texts():
     x, doc = quality.passages([None, "", "one", "w " * 64, "w " * 65, "é!"])
-    assert doc.tolist() == [0, 1, 2, 3, 4, 4, 5] and np.isfinite(x).all() and not x[0].any()
+    assert doc.tolist() == [0, 1, 2, 3, 4, 4, 5] and np.isfinite(x).all() and not x[0].any() and not x[1].any()
+    alone, _ = quality.passages(["w " * 65])  # what stands beside a text changes nothing
+    assert np.allclose(alone, x[4:6])
 
 
 def test_quality_held_out_and_edges(spark, edge):
