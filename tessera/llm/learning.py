@@ -33,14 +33,14 @@ class Adam:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learns, rows: int, chars: int) -> pd.DataFrame:
     """(text, y) of at most ``rows`` labelled documents that ``learns`` (a condition on doc_id) admits, of which no text
-    is longer than ``chars``: those first by a hash of doc_id and text, so the choice is the same at every partitioning.
-    Documents with a null text or label don't teach. A document with several labels counts once for each."""
-    known = labels.filter(F.col(target).isNotNull()).select(F.col("doc_id").alias("_id"), F.col(target).cast("int").alias("y"))
+    is longer than ``chars``: those first by a hash of doc_id and label, so the choice is the same at every partitioning.
+    Documents with a null text or label don't teach. Only ids and labels are joined and ranked; then the chosen ids, of
+    which there are ``rows`` at most, are sent to the scan that reads their texts."""
+    known = labels.filter(F.col(target).isNotNull()).select("doc_id", F.col(target).cast("int").alias("y")).distinct()
     some = docs.select("doc_id", "text").filter("text is not null").filter(learns).filter(F.length("text") <= chars)
-    # The order is drawn before texts are joined, so only chosen rows carry their text to the driver.
-    chosen = some.join(known, F.col("doc_id") == F.col("_id")).select(
-        F.xxhash64("doc_id", "text", "y").alias("_order"), "text", "y").orderBy("_order", "text", "y").limit(rows)
-    return chosen.select("text", "y").toPandas()
+    ranked = some.select("doc_id").join(known, "doc_id").distinct().withColumn("_order", F.xxhash64("doc_id", "y"))
+    chosen = ranked.orderBy("_order", "doc_id", "y").limit(rows).select("doc_id", "y")
+    return some.join(F.broadcast(chosen), "doc_id").select("text", "y").limit(rows).toPandas()
 
 
 def learns(parts: int, held: int):

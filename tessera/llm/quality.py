@@ -140,7 +140,10 @@ def train(sample: pd.DataFrame, epochs: int = EPOCHS, rate: float = RATE, seed:
     if len(np.unique(y)) < 2:
         model.constant = True
         return model
-    x, doc = passages(list(sample["text"]))
+    parts = [passages(list(part["text"])) for part in groups(sample, limit=1 << 20)]
+    counts = [int(doc.max()) + 1 for _, doc in parts]
+    x = np.concatenate([part for part, _ in parts])
+    doc = np.concatenate([own + before for (_, own), before in zip(parts, np.cumsum([0, *counts[:-1]]))])
     model.mean, model.scale = x.mean(0), x.std(0) + np.float32(0.02)
     firsts = np.append(np.flatnonzero(np.diff(doc, prepend=-1)), len(doc))
     adam, rng = Adam(model.p, rate), np.random.default_rng(seed)

@@ -71,11 +71,11 @@ def test_windows_cover_all_words():
 
 
 def test_toxicity_held_out(spark):
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"  # the smaller tables have some 30 toxic texts to learn from
     rows = toxicity.op1_toxicity(spark, d).join(
         read(spark, d, "labels", "doc_id", "toxic"), "doc_id").filter("held_out").toPandas()
     right = (rows["predicted"] == rows["toxic"]).mean()
-    assert rows["score"].between(0, 1).all() and right > 0.85
+    assert rows["score"].between(0, 1).all() and right > 0.95
     assert (rows.loc[rows["predicted"] == 1, "toxic"] == 1).mean() > 0.9
 
 
