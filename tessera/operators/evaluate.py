@@ -101,9 +101,11 @@ def score_totals(df: DataFrame, keys: list[str], label: str = "label", score: st
 
     Columns: keys, score, pos, neg, cum_pos, cum_neg (inclusive, from the top), tot_pos, tot_neg;
     ``with_next`` adds next_pos, next_neg (counts at the next lower score, null at the last).
+    A row without a label, or whose score is null or NaN, can't be ranked and takes no part.
     """
     n_buckets = n_buckets or default_buckets(df.sparkSession)
-    src = df.select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
+    ranked = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
+    src = df.filter(ranked).select(*keys, (-F.col(score)).alias("_neg_score"), F.col(label).cast("long").alias("_y"))
     # one shuffle to distinct scores per key; checkpointed (the sketch and the running
     # totals read it, not the source)
     d = checkpointed(
@@ -209,8 +211,8 @@ def model_comparison(df: DataFrame, model: str = "model", label: str = "label",
                      score: str = "score") -> DataFrame:
     """Accuracy, macro F1 and ROC-AUC per model (models are few: the join is on a tiny key)."""
     m = binary_metrics(df, [model], label, pred).select(model, F.round("accuracy", 6).alias("accuracy"), "f1_macro")
-    a = roc_auc(df, [model], label, score)
-    return m.join(a, on=model)
+    a = roc_auc(df, [model], label, score).withColumnRenamed(model, "_model")
+    return m.join(a, F.col(model).eqNullSafe(F.col("_model")), "left").drop("_model")
 
 
 def best_by(df: DataFrame, name_col: str, metric: str) -> DataFrame:

@@ -118,7 +118,11 @@ def _attribute_batch(X: np.ndarray, trees: dict, weights: list[float]) -> tuple[
 
 def tree_attributions(df: DataFrame, id_col: str, features_col: str, ensemble_model, names: list[str]) -> DataFrame:
     """Per row: base, raw margin and one attribution per vector slot, as a long table
-    (id, feature, attribution) plus (base, margin) columns repeated per row."""
+    (id, feature, attribution) plus (base, margin) columns repeated per row. Boosted trees only: a forest's leaves
+    vote by class shares, which are no margins."""
+    from pyspark.ml.classification import GBTClassificationModel
+    if not isinstance(ensemble_model, GBTClassificationModel):
+        raise TypeError("tree attributions are defined for boosted trees")
     spark = df.sparkSession
     trees, weights = tree_tables(spark, ensemble_model)
     base = float(sum(w * trees[t]["pred"][0] for t, w in zip(sorted(trees), weights)))

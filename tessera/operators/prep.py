@@ -23,6 +23,10 @@ from tessera.operators.ranks import (distinct_value_counts, exact_quantiles, par
 from tessera.session import checkpointed
 
 
+#: Groups (of a few dozen bytes each) that are sent to every task.
+BROADCAST_GROUPS = 100_000
+
+
 # Fitting helpers ------------------------------------------------------------------------
 
 def fit_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, float | None]:
@@ -32,7 +36,8 @@ def fit_medians(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str,
     if exact:
         rows = exact_quantiles(df, cols, [0.5]).collect()  # one row per column
         return {r["col_name"]: r["value"] for r in rows}
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10_000).alias(c) for c in cols]).first()
+    types = dict(df.dtypes)
+    row = df.agg(*[F.percentile_approx(present(c, types[c]).cast("double"), 0.5, 10_000).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -81,9 +86,21 @@ def fit_modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
     return out
 
 
+def present(col: str, dtype: str):
+    """The column with NaN as null: fits treat NaN as missing, so applying a fit must too."""
+    return F.when(~F.isnan(col), F.col(col)) if dtype in ("double", "float") else F.col(col)
+
+
+def filled(col: str, dtype: str, value):
+    """``col`` with missing values replaced. A fractional fill (a median) makes an integer column double."""
+    if isinstance(value, float) and dtype in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(F.col(col).cast("double"), F.lit(value))
+    return F.coalesce(present(col, dtype), F.lit(value).cast(dtype))
+
+
 def fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(dict(df.dtypes)[c])) for c, v in values.items()
-                           if v is not None})
+    types = dict(df.dtypes)
+    return df.withColumns({c: filled(c, types[c], v) for c, v in values.items() if v is not None})
 
 
 _NUMERIC_TYPES = ("int", "bigint", "smallint", "tinyint", "double", "float")
@@ -161,10 +178,12 @@ def group_median_fill(df: DataFrame, col: str, keys: list[str], fit_on: DataFram
     overall = value_buckets(vc.groupBy("col_name", "value").agg(F.sum("c").alias("c")), "value",
                             parallel_buckets(df.sparkSession), by="col_name")
     glob = quantiles_from_counts(overall, [0.5]).first()["value"]
+    # a row a group: sent to every task where a count shows it is small, else AQE's skew join takes hot groups
+    gm = F.broadcast(gm) if gm.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS else gm
     j = df.join(gm, on=keys, how="left")
     cols = [c for c in df.columns if c != out]
-    filled = F.coalesce(F.col(col), F.col("_gmed"), F.lit(glob).cast("double"))
-    res = j.select(*cols, filled.alias(out))
+    value = F.coalesce(present(col, dict(df.dtypes)[col]), F.col("_gmed"), F.lit(glob).cast("double"))
+    res = j.select(*cols, value.alias(out))
     return res.select(*df.columns) if out in df.columns else res
 
 
@@ -219,7 +238,7 @@ class ExactImputerModel(Model, HasInputCols, HasOutputCols, _JsonState, DefaultP
     def _transform(self, df: DataFrame) -> DataFrame:
         vals = self._state()
         types = dict(df.dtypes)
-        return df.withColumns({o: F.coalesce(F.col(i), F.lit(vals[i]).cast(types[i])) if vals.get(i) is not None
+        return df.withColumns({o: filled(i, types[i], vals[i]) if vals.get(i) is not None
                                else F.col(i) for i, o in zip(self.getInputCols(), self.getOutputCols())})
 
 

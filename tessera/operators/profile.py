@@ -73,7 +73,8 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6
             F.sum("c").alias("count"), F.try_divide(wsum, F.sum("c").cast("double")).alias("_mean"),
             F.min("value").alias("min"), F.max("value").alias("max"))
         dev = F.col("value") - F.col("_mean")
-        ss = vc.join(m.select("col_name", "_mean"), "col_name") \
+        # one row a column: broadcast, so that no task takes a whole column
+        ss = vc.join(F.broadcast(m.select("col_name", "_mean")), "col_name") \
             .groupBy("col_name").agg(F.sum(F.col("c") * dev * dev).alias("_ss"))
         basic = m.join(ss, "col_name").select(
             "col_name", "count", r(F.col("_mean")).alias("mean"),
@@ -110,7 +111,7 @@ def normalised_counts(df: DataFrame, col: str, keys: list[str] | None = None, di
         from pyspark.sql import Window
         tot = F.sum("n").over(Window.partitionBy(*keys))
     else:
-        tot = df.filter(F.col(col).isNotNull()).agg(F.count(F.lit(1))).scalar()
+        tot = counts.agg(F.sum("n")).scalar()  # from the counts: their exchange is reused
     return counts.select(*keys, col, "n", F.round(F.col("n") / tot, digits).alias("share"))
 
 

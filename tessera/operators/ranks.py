@@ -101,7 +101,12 @@ def running_totals(df: DataFrame, keys: list[str], bucket: str, order: list[Colu
     offs = small.select(*keys, bucket,
                         *[F.coalesce(F.sum("_b_" + c).over(wb), F.lit(0)).alias("_off_" + c) for c in sums],
                         *[F.sum("_b_" + c).over(wt).alias("tot_" + c) for c in sums], *nb)
-    j = df.join(offs, on=keys + [bucket], how="inner")
+    # keys may be null: a null key is a group like any other
+    offs = offs.withColumnsRenamed({k: "_k_" + k for k in [*keys, bucket]})
+    same = F.lit(True)
+    for k in [*keys, bucket]:
+        same = same & F.col(k).eqNullSafe(F.col("_k_" + k))
+    j = df.join(offs, same, how="inner")
     wi = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wl = Window.partitionBy(*keys, bucket).orderBy(*order)
     last_in_bucket = F.lead(F.lit(1)).over(wl).isNull()
@@ -140,7 +145,7 @@ def value_buckets(df: DataFrame, value: str, n_buckets: int, by: str | None = No
     if by is None:
         bucket = F.col(tmp_out[0])
     else:
-        bucket = F.coalesce(*[F.when(F.col(by) == F.lit(g), F.col(t)) for g, t in zip(names, tmp_out)])
+        bucket = F.coalesce(*[F.when(F.col(by).eqNullSafe(F.lit(g)), F.col(t)) for g, t in zip(names, tmp_out)])
     bucket = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(bucket.cast("int"))
     return b.select(*df.columns, bucket.alias(out))
 

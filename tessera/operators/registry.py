@@ -56,16 +56,16 @@ def grid_rank(children: DataFrame, score: str, parent: str = "parent_run_id", ou
 
 
 def resolve_artifacts(artifacts: DataFrame, candidates: list[str] | None = None) -> DataFrame:
-    """Per run: the first known model folder present, else a folder holding something named model."""
+    """Per run: the first known model folder present (alone or with anything inside), else a folder holding an
+    artifact whose whole path has "model" in it."""
     candidates = candidates or ARTIFACT_CANDIDATES
     pri = F.create_map(*[F.lit(x) for i, c in enumerate(candidates) for x in (c, i)])
     folder = F.split_part(F.col("path"), F.lit("/"), F.lit(1))
-    rest = F.substring_index(F.col("path"), "/", -1)
-    known = F.try_element_at(pri, F.col("path"))
-    nested = F.col("path").contains("/") & rest.contains("model")
+    known = F.try_element_at(pri, folder)
+    nested = F.col("path").contains("/") & F.col("path").contains("model")
     cand = artifacts.select(
         "run_id",
-        F.when(known.isNotNull(), F.col("path")).when(nested, folder).alias("path"),
+        F.when(known.isNotNull() | nested, folder).alias("path"),
         F.coalesce(known, F.when(nested, F.lit(len(candidates)))).alias("priority"))
     cand = cand.filter(F.col("priority").isNotNull())
     return cand.groupBy("run_id").agg(F.min_by("path", F.struct("priority", "path")).alias("path"))
@@ -85,6 +85,7 @@ def promote(registry: DataFrame, run_id_value) -> DataFrame:
 
 def resolve_production(registry: DataFrame, lb: DataFrame, metric: str = "roc_auc") -> DataFrame:
     """The Production version's run, else the best run of the leaderboard (one row)."""
+    lb = lb.filter(F.col(metric).isNotNull())
     prod = registry.filter(F.col("stage") == "Production").agg(
         F.max_by(F.struct("version", "run_id"), "version").alias("p"))
     best = lb.agg(F.min_by("run_id", _best_key(metric, "run_id")).alias("b"))

@@ -50,12 +50,15 @@ def with_violations(df: DataFrame, rules: list[Rule], out: str = "violations") -
     return df.withColumn(out, F.filter(codes, lambda x: x.isNotNull()))
 
 
-def valid_rows(df: DataFrame, rules: list[Rule], groups_lower: bool = True) -> DataFrame:
+def valid_rows(df: DataFrame, rules: list[Rule], vocabulary: list[str] | None = None) -> DataFrame:
+    """Rows that break no rule, ports upper-cased. Groups come in lower case, or, with ``vocabulary`` (the values
+    that a model was fitted on), in the spelling that the vocabulary has for them."""
     v = with_violations(df, rules).filter(F.size("violations") == 0).drop("violations")
-    norm = {"port": F.upper("port")}
-    if groups_lower:
-        norm["grp"] = F.lower("grp")
-    return v.withColumns(norm)
+    group = F.lower("grp")
+    if vocabulary is not None:
+        spelt = F.create_map(*[F.lit(x) for g in vocabulary for x in (g.lower(), g)])
+        group = F.coalesce(F.try_element_at(spelt, group), F.col("grp"))
+    return v.withColumns({"port": F.upper("port"), "grp": group})
 
 
 def rejected_rows(df: DataFrame, rules: list[Rule], id_col: str = "subject_id") -> DataFrame:

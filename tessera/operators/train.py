@@ -48,7 +48,7 @@ def boosted(max_iter: int = 300, step: float = 0.05, max_depth: int = 4, subsamp
                          checkpointInterval=checkpoint_interval, featuresCol="features", labelCol="label")
 
 
-# Presets of the modelled project
+# Parameters of the modelled project
 PRESETS = {
     "logistic": dict(C=1.0, max_iter=1000),
     "forest": dict(num_trees=200, max_depth=15, min_leaf=3),
@@ -60,6 +60,14 @@ PRESETS = {
 }
 
 
+GRID_ROUNDS, GRID_RATES, GRID_DEPTHS = (200, 300), (0.05, 0.10), (3, 4)
+
+
+def training_rows(train: DataFrame) -> int:
+    """Rows of the training part, one aggregation over a single column."""
+    return train.select("label").count()
+
+
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], classifier) -> PipelineModel:
     """Preprocessing + classifier as one fitted unit (persistable)."""
     scratch_dir(train.sparkSession)  # GBT checkpoints its lineage there
@@ -121,14 +129,15 @@ def cross_validate(spark: SparkSession, folds: list[FoldData], candidates: list[
                    parallelism: int = 4) -> DataFrame:
     """Fit every (candidate, fold) and score on the fold's validation rows.
 
-    ``candidates`` = [(name, params, classifier)]. Returns long rows
+    ``candidates`` = [(name, params, classifier, or a function of the fold that makes one)]. Returns long rows
     (candidate, fold, accuracy, f1_macro, roc_auc, fit_s). The per-fit scores are one row
     each (a few numbers per fit), so they are gathered as a small table.
     """
     def run(job):
         (name, _params, clf), fd = job
         t0 = time.time()
-        model = clf.copy().fit(fd.train)
+        own = clf(fd.fold) if callable(clf) else clf.copy()
+        model = own.fit(fd.train)
         fit_s = time.time() - t0
         s = _scores(model, fd.valid)
         return (name, fd.fold, s["accuracy"], s["f1_macro"], s["roc_auc"], fit_s)
@@ -140,6 +149,51 @@ def cross_validate(spark: SparkSession, folds: list[FoldData], candidates: list[
                                        "roc_auc double, fit_s double")
 
 
+def cross_validate_rounds(spark: SparkSession, folds: list[FoldData], candidates: list[tuple[dict, object]],
+                          parallelism: int = 4) -> DataFrame:
+    """Like :func:`cross_validate` for boosted trees that differ in their number of rounds only.
+
+    ``candidates`` = [({rounds: name}, classifier of the most rounds)]. Boosting adds trees one by one with the same seeds,
+    so the first n trees of a fit are the fit of n rounds: each classifier is fitted once a fold, and every number of
+    rounds is scored from the margins of its leading trees."""
+    def run(job):
+        (names, clf), fd = job
+        t0 = time.time()
+        model = clf.copy().fit(fd.train)
+        fit_s = time.time() - t0
+        out = []
+        for n, name in names.items():
+            part = leading_trees(model, n)
+            s = _scores(part, fd.valid)
+            out.append((name, fd.fold, s["accuracy"], s["f1_macro"], s["roc_auc"], fit_s * n / max(names)))
+        return out
+
+    jobs = [(c, fd) for c in candidates for fd in folds]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        rows = [r for part in ex.map(run, jobs) for r in part]
+    return spark.createDataFrame(rows, "candidate string, fold int, accuracy double, f1_macro double, "
+                                       "roc_auc double, fit_s double")
+
+
+def leading_trees(model, n: int):
+    """The boosted model of the first ``n`` trees."""
+    from pyspark.ml.classification import GBTClassificationModel
+    if n >= model.getNumTrees:
+        return model
+    java = model._java_obj
+    sc = SparkSession.getActiveSession().sparkContext
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for k in range(n):
+        trees[k], weights[k] = java.trees()[k], float(model.treeWeights[k])
+    part = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    out = GBTClassificationModel(part)
+    for name in ("featuresCol", "labelCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+        out._set(**{name: model.getOrDefault(name)})
+    out._transfer_params_to_java()
+    return out
+
+
 def summarise_cv(cv: DataFrame, metric: str = "f1_macro", digits: int = 6) -> DataFrame:
     """Mean and population std of the metric per candidate, rank by mean (ties share)."""
     from pyspark.sql import Window

@@ -80,7 +80,7 @@ def q_attr_trees(spark, sf):
     """Path attributions of a boosted-tree model for every hold-out row."""
     fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(max_iter=10, step=0.1, max_depth=3, subsample=0.8))
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(**M.PRESETS["boosted_tuned"]))
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
     return H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)
@@ -91,7 +91,7 @@ def q_attr_logistic(spark, sf):
     """Attributions of a fitted logistic model for every hold-out row."""
     fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(train.count(), C=1.0, max_iter=100))
+    model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(M.training_rows(train), **M.PRESETS["logistic"]))
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
     out = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1],

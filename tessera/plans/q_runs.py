@@ -62,12 +62,12 @@ def q_grid_rank(spark, sf):
 _ART = with_views("run_artifacts")
 
 
-@query("artifact_resolve", _ART + """, c AS (SELECT run_id,
-  CASE WHEN path IN ('baseline_model', 'random_forest_model', 'gradient_boosting_model', 'GradientBoosting_Best') THEN path
-       WHEN position('/' IN path) > 0 AND position('model' IN split_part(path, '/', -1)) > 0 THEN split_part(path, '/', 1) END AS path,
-  CASE path WHEN 'baseline_model' THEN 0 WHEN 'random_forest_model' THEN 1 WHEN 'gradient_boosting_model' THEN 2
-       WHEN 'GradientBoosting_Best' THEN 3 ELSE CASE WHEN position('/' IN path) > 0
-       AND position('model' IN split_part(path, '/', -1)) > 0 THEN 4 END END AS priority FROM run_artifacts),
+# A known folder is found whether the artifact is the folder itself or lies anywhere below it; else any folder with an
+# artifact below it whose whole path says "model".
+@query("artifact_resolve", _ART + """, c AS (SELECT run_id, split_part(path, '/', 1) AS path,
+  CASE split_part(path, '/', 1) WHEN 'baseline_model' THEN 0 WHEN 'random_forest_model' THEN 1
+       WHEN 'gradient_boosting_model' THEN 2 WHEN 'GradientBoosting_Best' THEN 3
+       ELSE CASE WHEN path LIKE '%/%' AND path LIKE '%model%' THEN 4 END END AS priority FROM run_artifacts),
 r AS (SELECT run_id, path, row_number() OVER (PARTITION BY run_id ORDER BY priority, path) AS k FROM c WHERE priority IS NOT NULL)
 SELECT run_id, path FROM r WHERE k = 1""")
 def q_artifact_resolve(spark, sf):
@@ -91,11 +91,12 @@ def q_registry_promote(spark, sf):
 @query("registry_resolve", W_RUNS.rstrip() + f",\nreg AS ({fixtures.MODEL_VERSIONS_SQL})\n"
        "SELECT (SELECT max(version) FROM reg WHERE stage = 'Production') AS version,\n"
        "  coalesce((SELECT arg_max(run_id, version) FROM reg WHERE stage = 'Production'),\n"
-       "           (SELECT run_id FROM lb ORDER BY roc_auc DESC, run_id LIMIT 1)) AS run_id,\n"
+       "           (SELECT run_id FROM wide WHERE roc_auc IS NOT NULL ORDER BY roc_auc DESC, run_id LIMIT 1)) AS run_id,\n"
        "  CASE WHEN EXISTS (SELECT 1 FROM reg WHERE stage = 'Production') THEN 'registry' ELSE 'leaderboard' END AS source")
 def q_registry_resolve(spark, sf):
     r, m = _runs(spark, sf)
-    return L.resolve_production(fixtures.model_versions(spark, sf), L.leaderboard(r, m))
+    # the fallback wants the ROC-AUC alone, not every metric of the leaderboard
+    return L.resolve_production(fixtures.model_versions(spark, sf), runlog.search_runs(r, m))
 
 
 _GB = with_views("runs", "run_metrics", extra=[("lm", _LATEST.split(" AS (", 1)[1][:-1]),

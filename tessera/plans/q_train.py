@@ -1,7 +1,6 @@
 """Training queries (M1-M10, S5/S6, V12, X3 batch): rows-only checks plus pytest invariants.
 
-Iteration counts are smaller than the presets (PRESETS in tessera.operators.train) so the
-catalog stays quick on the test tables; the code path is the same.
+Every query trains with the parameters of ``PRESETS`` (tessera.operators.train).
 """
 
 from __future__ import annotations
@@ -39,8 +38,8 @@ def _report(model, test, name):
     return V.classification_report(p.withColumn("model", F.lit(name)), ["model"])
 
 
-def fit_logistic(spark, sf, max_iter=100):
-    return fit_on_split(spark, sf, lambda train: M.logistic(train.count(), C=1.0, max_iter=max_iter))
+def fit_logistic(spark, sf):
+    return fit_on_split(spark, sf, lambda train: M.logistic(M.training_rows(train), **M.PRESETS["logistic"]))
 
 
 @query("train_logistic")
@@ -51,16 +50,34 @@ def q_train_logistic(spark, sf):
 
 @query("train_forest")
 def q_train_forest(spark, sf):
-    model, _, test = fit_on_split(spark, sf, lambda _t: M.forest(num_trees=30, max_depth=8, min_leaf=3))
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.forest(**M.PRESETS["forest"]))
     return _report(model, test, "forest")
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf):
-    model, _, test = fit_on_split(spark, sf, lambda _t: M.boosted(max_iter=30, step=0.05, max_depth=4, subsample=0.8))
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.boosted(**M.PRESETS["boosted"]))
     return _report(model, test, "boosted")
 
 
+@query("train_boosted_tuned")
+def q_train_boosted_tuned(spark, sf):
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.boosted(**M.PRESETS["boosted_tuned"]))
+    return _report(model, test, "boosted_tuned")
+
+
+@query("train_forest_dashboard")
+def q_train_forest_dashboard(spark, sf):
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.forest(**M.PRESETS["forest_dashboard"]))
+    return _report(model, test, "forest_dashboard")
+
+
+@query("train_boosted_dashboard")
+def q_train_boosted_dashboard(spark, sf):
+    model, _, test = fit_on_split(spark, sf, lambda _t: M.boosted(**M.PRESETS["boosted_dashboard"]))
+    return _report(model, test, "boosted_dashboard")
+
+
 def _folds(spark, sf, k=5):
     # the fold assignment feeds k preprocessing fits: materialise it once
     f = T.stratified_folds(features(spark, sf), k=k).persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,17 +89,18 @@ def _folds(spark, sf, k=5):
     return folds
 
 
-GRID = [(n, lr, d) for n in (5, 10) for lr in (0.05, 0.1) for d in (2, 3)]
+GRID = [(n, lr, d) for n in M.GRID_ROUNDS for lr in M.GRID_RATES for d in M.GRID_DEPTHS]
 
 
 @query("grid_search")
 def q_grid_search(spark, sf):
     """8 combinations x 5 folds scored by macro F1; mean, population std and rank."""
     folds = _folds(spark, sf)
-    cands = [(f"GB_n{n}_lr{lr}_d{d}", dict(n=n, lr=lr, d=d), M.boosted(max_iter=n, step=lr, max_depth=d, subsample=0.8))
-             for n, lr, d in GRID]
-    cv = M.cross_validate(spark, folds, cands, parallelism=8).persist()
-    cv.count()
+    # A run of n rounds is the start of a longer one: each (rate, depth) is fitted once, to the most rounds.
+    cands = [({n: f"GB_n{n}_lr{lr}_d{d}" for n in M.GRID_ROUNDS},
+              M.boosted(max_iter=max(M.GRID_ROUNDS), step=lr, max_depth=d, subsample=0.8))
+             for lr in M.GRID_RATES for d in M.GRID_DEPTHS]
+    cv = M.cross_validate_rounds(spark, folds, cands, parallelism=8)
     release(folds)
     s = M.summarise_cv(cv, "f1_macro")
     params = spark.createDataFrame([(f"GB_n{n}_lr{lr}_d{d}", n, lr, d) for n, lr, d in GRID],
@@ -97,10 +115,10 @@ def release(folds):
 @query("cv_compare_models")
 def q_cv_compare(spark, sf):
     folds = _folds(spark, sf)
-    n_train = folds[0].train.count()
-    cands = [("logistic", {}, M.logistic(n_train, max_iter=100)),
-             ("forest", {}, M.forest(num_trees=20, max_depth=6)),
-             ("boosted", {}, M.boosted(max_iter=10, step=0.1, max_depth=3))]
+    sizes = {fd.fold: fd.train.count() for fd in folds}  # cached frames
+    cands = [("logistic", {}, lambda fold: M.logistic(sizes[fold], **M.PRESETS["logistic"])),
+             ("forest", {}, M.forest(**M.PRESETS["forest"])),
+             ("boosted", {}, M.boosted(**M.PRESETS["boosted"]))]
     cv = M.cross_validate(spark, folds, cands, parallelism=8).persist()
     cv.count()
     release(folds)
@@ -117,7 +135,7 @@ def q_learning_curve(spark, sf, steps=10, k=5):
         fd.train.count()
         fd.valid.count()
     f.unpersist()
-    out = M.learning_curve(spark, folds, class_train, lambda n: M.logistic(n, max_iter=30), k, steps, parallelism=8)
+    out = M.learning_curve(spark, folds, class_train, lambda n: M.logistic(n, **M.PRESETS["logistic"]), k, steps, parallelism=8)
     out = out.persist()
     out.count()
     release(folds)
@@ -126,12 +144,12 @@ def q_learning_curve(spark, sf, steps=10, k=5):
 
 @query("staged_loss")
 def q_staged_loss(spark, sf):
-    model, train, _ = fit_on_split(spark, sf, lambda _t: M.boosted(max_iter=20, step=0.05, max_depth=4, subsample=0.8))
+    model, train, _ = fit_on_split(spark, sf, lambda _t: M.boosted(**M.PRESETS["boosted"]))
     return M.staged_loss(model, train)
 
 
 def _forest_model(spark, sf):
-    return fit_on_split(spark, sf, lambda _t: M.forest(num_trees=30, max_depth=8, min_leaf=3))[0]
+    return fit_on_split(spark, sf, lambda _t: M.forest(**M.PRESETS["forest"]))[0]
 
 
 @query("feature_importance")

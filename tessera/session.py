@@ -41,8 +41,8 @@ def get_spark(master: str | None = None, app: str = "tessera", shuffle_partition
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at shared storage; it is only
-    created here (under the local temp folder) when the session has none, as in tests.
+    On a cluster this is set by the operator and points at shared storage; without it this
+    raises. Only a local session gets a folder under the local temp folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -50,6 +50,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -14,19 +14,24 @@ from pyspark.sql.types import StringType, StructField, StructType, _parse_dataty
 from tessera.spec import NA_TOKENS
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens: list[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens: list[str] | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """Columns are found by their header name, in any order. ``multi_line`` reads quoted line feeds, at the cost that
+    a file is then read by one task. A value that its column's type can't hold raises."""
     if isinstance(schema, str):
         schema = _parse_datatype_string(schema)
     tokens = NA_TOKENS if na_tokens is None else na_tokens
     text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text).option("header", True).option("escape", '"').option("multiLine", False)
-           .option("mode", "PERMISSIVE").csv(path))
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "mode": "FAILFAST"}
+    raw = spark.read.options(**options).csv(path)
+    if not set(text.names) <= set(raw.columns):
+        raise ValueError(f"no columns {sorted(set(text.names) - set(raw.columns))} in {path}")
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
         nulled = F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
         cols.append(nulled.alias(f.name) if isinstance(f.dataType, StringType)
-                    else nulled.try_cast(f.dataType).alias(f.name))
+                    else nulled.cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 
 

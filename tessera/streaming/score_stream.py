@@ -16,8 +16,7 @@ from tessera.session import new_scratch_path
 
 
 def run_available(spark: SparkSession, stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
-                  name: str = "stream_score", out_path: str | None = None, checkpoint: str | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  name: str = "stream_score", out_path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Run ``transform`` over everything available in ``stream`` and return the sink table."""
     out_path = out_path or new_scratch_path(spark, name + "-out")
     checkpoint = checkpoint or new_scratch_path(spark, name + "-ckpt")
@@ -36,12 +35,24 @@ def file_stream(spark: SparkSession, glob: str, schema: str, max_files_per_trigg
     return r.parquet(glob)
 
 
+def fitted_values(model, column: str) -> list[str]:
+    """Values of a categorical column that the pipeline's indexer was fitted on."""
+    from pyspark.ml.feature import StringIndexerModel
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            for name, labels in zip(stage.getInputCols(), stage.labelsArray):
+                if name.split("__")[0] == column:
+                    return list(labels)
+    raise ValueError(f"the model has no indexed column {column}")
+
+
 def score_orders_stream(spark: SparkSession, sf_dir: str, model, rules, spec=None,
-                        name: str = "model_stream") -> DataFrame:
+                        name: str = "model_stream", vocabulary: list[str] | None = None) -> DataFrame:
     """The scoring endpoint as a stream, with a fitted pipeline: new orders arrive as
     files, each micro-batch joins the static customer table, derives the request
     features, validates, fills defaults and is scored by ``model`` (every stage is
-    row-wise, so the fitted pipeline applies to the stream unchanged)."""
+    row-wise, so the fitted pipeline applies to the stream unchanged). ``vocabulary`` is the
+    model's spelling of the groups (by default that of its own indexer)."""
     from tessera.functions.features import feature_frame
     from tessera.operators import score as X
     from tessera.sources import fixtures
@@ -49,13 +60,14 @@ def score_orders_stream(spark: SparkSession, sf_dir: str, model, rules, spec=Non
     from tessera.spec import PRESET_A
 
     spec = spec or PRESET_A
+    vocabulary = vocabulary or fitted_values(model, "grp")
     glob = table_path(sf_dir, "orders").replace("orders.parquet", "orders*.parquet")
     orders = file_stream(spark, glob, fixtures.ORDER_SCHEMA)
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
 
     def transform(stream):
         feats = feature_frame(fixtures.subjects_from(stream.select(*fixtures.ORDER_COLS), customer), spec)
-        valid = X.apply_defaults(X.valid_rows(feats, rules), spec, mode="derive")
+        valid = X.apply_defaults(X.valid_rows(feats, rules, vocabulary), spec, mode="derive")
         out = model.transform(valid)
         return out.select("subject_id", *X.verdict(X.positive_probability(out)))
 

@@ -86,12 +86,21 @@ def test_stream_with_fitted_model_equals_batch(spark):
     train = fs.filter(F.col("split") == "train")
     model = M.fit(train, list(PRESET_A.numeric), list(PRESET_A.categorical), M.logistic(train.count(), max_iter=50))
     streamed = score_orders_stream(spark, sf, model, rules())
-    valid = X.apply_defaults(X.valid_rows(feats, rules()), PRESET_A, mode="derive")
-    batch = X.score_with_model(model, valid)
+    # direct scores: no validation in between, so its normalisation can't hide in both sides
+    ids = X.valid_rows(feats, rules()).select("subject_id")
+    batch = X.score_with_model(model, X.apply_defaults(feats, PRESET_A, mode="derive")).join(ids, "subject_id", "left_semi")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
 
 
+def test_valid_rows_spell_groups_as_the_model_does(spark):
+    from tessera.plans.q_score import rules
+    df = spark.createDataFrame([(1, 1, "Building", 30.0, 0, 0, 5.0, "s")],
+                               "subject_id long, tier int, grp string, age double, sibsp int, parch int, fare double, port string")
+    assert X.valid_rows(df, rules()).first()["grp"] == "building"
+    assert X.valid_rows(df, rules(), ["BUILDING", "MACHINERY"]).first()["grp"] == "BUILDING"
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)
