@@ -22,10 +22,10 @@ _RULES_SQL = [
     ("fare_missing", "fare IS NULL"), ("fare_negative", "fare < 0"),
     ("port_value", "port IS NOT NULL AND upper(port) NOT IN ('C', 'Q', 'S')"),
 ]
-_VALID_WHERE = " AND ".join(f"NOT coalesce({c}, false)" for _, c in _RULES_SQL)
+VALID_WHERE = " AND ".join(f"NOT coalesce({c}, false)" for _, c in _RULES_SQL)
 _REQ = "req AS (SELECT subject_id, tier, grp, age, sibsp, parch, fare, port, title FROM features)"
 _VALID = f"v AS (SELECT subject_id, tier, lower(grp) AS grp, age, sibsp, parch, fare, upper(port) AS port, title " \
-         f"FROM req WHERE {_VALID_WHERE})"
+         f"FROM req WHERE {VALID_WHERE})"
 _DEFAULTS = """d AS (SELECT subject_id, coalesce(sibsp, 0) AS sibsp, coalesce(parch, 0) AS parch, coalesce(port, 'S') AS port,
   coalesce(title, 'Mr') AS title, CAST(coalesce(sibsp, 0) + coalesce(parch, 0) + 1 AS INT) AS family_size,
   CAST(CASE WHEN coalesce(sibsp, 0) + coalesce(parch, 0) + 1 = 1 THEN 1 ELSE 0 END AS INT) AS is_alone,
@@ -57,7 +57,7 @@ def q_validate(spark, sf):
 @query("rejected_rows", _w(_REQ) + "SELECT subject_id, concat_ws(',', " +
        ", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in _RULES_SQL) + ") AS reasons, CAST(" +
        " + ".join(f"(CASE WHEN {c} THEN 1 ELSE 0 END)" for _, c in _RULES_SQL) + " AS INT) AS n_reasons FROM req WHERE NOT (" +
-       _VALID_WHERE + ")")
+       VALID_WHERE + ")")
 def q_rejected(spark, sf):
     return X.rejected_rows(requests(spark, sf), rules())
 

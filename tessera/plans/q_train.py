@@ -13,9 +13,12 @@ from tessera.operators import evaluate as V
 from tessera.operators import score as X
 from tessera.operators import split as T
 from tessera.operators import train as M
+from tessera.plans import q_score
 from tessera.plans.catalog import features, query, split_table
+from tessera.plans.views import with_views
 from tessera.session import new_scratch_path
 from tessera.spec import PRESET_A
+from tessera.streaming import score_stream
 
 NUMERIC = list(PRESET_A.numeric)
 CATEGORICAL = list(PRESET_A.categorical)
@@ -163,19 +166,33 @@ def q_topk_importance(spark, sf):
     return imp.orderBy(F.desc("importance"), "feature").limit(15)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", with_views("split") + "SELECT subject_id, true AS same FROM split WHERE split = 'test'")
 def q_roundtrip(spark, sf):
-    """Save the fitted pipeline to the shared folder, load it, score again: equal outputs."""
+    """Save the fitted pipeline to the shared folder, load it, score again: every hold-out row keeps its score."""
     model, _, test = fit_logistic(spark, sf)
     path = new_scratch_path(spark, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     a = M.predict(model, test, ["subject_id"]).withColumnRenamed("score", "p_before").drop("pred")
     b = M.predict(loaded, test, ["subject_id"]).withColumnRenamed("score", "p_after").drop("pred")
-    return a.join(b, "subject_id").withColumn("same", F.abs(F.col("p_before") - F.col("p_after")) < 1e-12)
+    same = F.abs(F.col("p_before") - F.col("p_after")) < 1e-12
+    return a.join(b, "subject_id").select("subject_id", same.alias("same"))
 
 
 @query("batch_score")
 def q_batch_score(spark, sf):
     model, _, test = fit_logistic(spark, sf)
     return X.score_with_model(model, test)
+
+
+@query("stream_score_model", with_views("subjects") + "SELECT subject_id, true AS same, true AS pred_ok FROM subjects WHERE "
+       + q_score.VALID_WHERE)
+def q_stream_score_model(spark, sf):
+    """Orders streamed through validation, defaults and a fitted pipeline, against scoring the same rows directly."""
+    model, _, _ = fit_logistic(spark, sf)
+    streamed = score_stream.score_orders_stream(spark, sf, model, q_score.rules())
+    direct = X.score_with_model(model, X.apply_defaults(features(spark, sf), PRESET_A, mode="derive"))
+    direct = direct.select("subject_id", F.col("probability").alias("direct"))
+    return streamed.join(direct, "subject_id").select(
+        "subject_id", (F.col("probability") == F.col("direct")).alias("same"),
+        (F.col("pred") == (F.col("probability") >= 0.5).cast("int")).alias("pred_ok"))

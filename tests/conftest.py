@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tessera import get_spark
-    s = get_spark("local[4]", app="tessera-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="tessera-tests", shuffle_partitions=8,
+                  extra={"spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="tessera-tests-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
