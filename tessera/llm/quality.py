@@ -9,8 +9,8 @@ documents teach which passages matter.
 The model is fitted on the driver on at most ``TRAIN_DOCS`` labelled texts of at most ``TRAIN_CHARS`` characters; scoring
 reads every passage of every whole text in one pass without a shuffle.
 
-Defined results: a null or empty text is one empty passage (all features 0) and gets that bag's score; without labels of both
-kinds all get the labelled share of 1 (0.5 without labels); repeated rows and null ids each get a row; an empty table gives
+Defined results: a null or empty text has nothing to judge and gets the labelled share of 1 (0.5 without labels), as all do
+without labels of both kinds; repeated rows and null ids each get a row; an empty table gives
 none; other columns are ignored (and kept by ``keep_good``). Labels, lang, source and doc_id are never inputs.
 """
 
@@ -130,7 +130,7 @@ class BagModel:
             return np.full(len(texts), self.prior)
         x, doc = passages(texts)
         logit, _ = self.forward(x, np.flatnonzero(np.diff(doc, prepend=-1)), doc)
-        return sigmoid(logit.astype(np.float64))
+        return np.where([bool(t) for t in texts], sigmoid(logit.astype(np.float64)), self.prior)
 
 
 def train(sample: pd.DataFrame, epochs: int = EPOCHS, rate: float = RATE, seed: int = 5) -> BagModel:
