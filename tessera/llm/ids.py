@@ -13,7 +13,7 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,6 +43,20 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Parts(dict):
+    """Pre-token -> its ids, learnt when first asked for; cleared when full."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHE_PARTS:
+            self.clear()
+        ids = self[part] = self.learn(part)
+        return ids
+
+
 class IdEncoder:
     """Whole texts to numpy arrays of ids, with a bounded cache of pieces (cleared when full)."""
 
@@ -55,7 +69,7 @@ class IdEncoder:
         self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self.parts: dict[str, bytes] = {}
+        self.parts = Parts(self._learn)
 
     def _bytes(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
@@ -69,18 +83,10 @@ class IdEncoder:
             shown = "Ġ" + part[1:] if part[0] == " " else part
         else:
             shown = part.encode().decode("latin-1").translate(self.letters)
-        if len(self.parts) >= CACHE_PARTS:
-            self.parts.clear()
-        ids = self.parts[part] = self._bytes([t.id for t in self.model.tokenize(shown)])
-        return ids
+        return self._bytes([t.id for t in self.model.tokenize(shown)])
 
     def _plain(self, text: str) -> bytes:
-        parts = PRE_TOKEN.findall(text)
-        got = [*map(self.parts.get, parts)]
-        if None in got:
-            known, learn = self.parts.get, self._learn
-            got = [known(part) or learn(part) if ids is None else ids for part, ids in zip(parts, got)]
-        return b"".join(got)
+        return b"".join(map(self.parts.__getitem__, PRE_TOKEN.findall(text)))
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
