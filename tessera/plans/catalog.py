@@ -62,6 +62,7 @@ def load_all() -> None:
         q_eval,
         q_explain,
         q_features,
+        q_holdout,
         q_io,
         q_prep,
         q_profile,
