@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, written
+from tessera.llm.common import bounded_batches, read, written
 
 PIVOTS, SAMPLE, SEEDS = 32, 2000, 500
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
@@ -51,20 +51,24 @@ def choose_pivots(sample: pd.DataFrame, count: int = PIVOTS) -> dict[int, np.nda
 
 
 def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray], rows: int) -> DataFrame:
-    """``vectors`` (row, vec_id, v) in blocks of ``rows``, with the distances of each to the pivots."""
+    """``vectors`` (row, vec_id, v) in blocks of ``rows`` or a batch more, with the distances of each to the pivots."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list[pd.DataFrame]] = {}
         for pdf in batches:
             for dim, part in pdf.groupby(pdf["v"].map(len)):
-                for k in range(0, len(part), rows):
-                    some = part.iloc[k: k + rows]
-                    x = np.array(some["v"].tolist(), np.int64).reshape(len(some), dim)
-                    to = pivots.get(int(dim), np.zeros((1, dim)))
-                    d = np.stack([np.sqrt(((x - p) ** 2).sum(1, dtype=np.float64)) for p in to], 1)
-                    yield pd.DataFrame({"dim": [dim], "ids": [some["vec_id"].to_numpy(np.int64).tobytes()],
-                                        "rows": [some["row"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()],
-                                        "pivots": [d.tobytes()]})
-
-    vectors.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BLOCK_ROWS)
+                held.setdefault(int(dim), []).append(part)
+                if sum(map(len, held[int(dim)])) >= rows:
+                    yield block(int(dim), held.pop(int(dim)))
+        for dim, parts in held.items():
+            yield block(dim, parts)
+
+    def block(dim: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
+        some = pd.concat(parts)
+        x = np.array(some["v"].tolist(), np.int64).reshape(len(some), dim)
+        d = np.stack([np.sqrt(((x - p) ** 2).sum(1, dtype=np.float64)) for p in pivots.get(dim, np.zeros((1, dim)))], 1)
+        return pd.DataFrame({"dim": [dim], "ids": [some["vec_id"].to_numpy(np.int64).tobytes()],
+                             "rows": [some["row"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()], "pivots": [d.tobytes()]})
+
     return vectors.select("row", "vec_id", "v").mapInPandas(pack, BLOCK)
 
 
@@ -110,6 +114,7 @@ def unpacked(row, side: str) -> dict:
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for ``vectors`` (vec_id long, v array<long>); ``is_query`` picks the queries."""
     spark = vectors.sparkSession
+    bounded_batches(spark)  # by bytes too: a row below can be a pair of blocks
     rows = written(vectors.filter(usable("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     sample = rows.select("v", F.xxhash64("row").alias("_o")).orderBy("_o").limit(SAMPLE).toPandas()
     sent = spark.sparkContext.broadcast((choose_pivots(sample), sample["v"].tolist()[:SEEDS]))  # a few hundred vectors
@@ -136,7 +141,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                                             "row": x["rows"][places], "score": scores})
 
     side = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in ("dim", "ids", "rows", "vectors", "pivots")])
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # a row is a pair of blocks
     # A stated query set against all rows, in blocks of both.
     pairs = side(table, "x").crossJoin(side(queries, "q")).filter("x_dim = q_dim")
     found = pairs.mapInPandas(compare, "query_row long, query_id long, vec_id long, row long, score long")
