@@ -90,16 +90,17 @@ def search(q: dict, x: dict, k: int, least: np.ndarray) -> Iterator[tuple[np.nda
         bound += 1e-9 * (qn[i] + xn) + 1e-6
         order = np.flatnonzero((bound >= least[i]) & (x["rows"] != q["rows"][i]))
         order = order[np.argsort(-bound[order], kind="stable")]
-        places, scores, at, step, kth = order[:0], np.empty(0, np.int64), 0, 4 * k, least[i]
+        places, scores, at, step, kth = order[:0], np.empty(0, np.int64), 0, 16 * k, least[i]
         while at < len(order) and bound[order[at]] >= kth:
             some = order[at: at + step]
             got = (xv[some] @ qv[i]).astype(np.int64)
+            some, got = some[got >= kth], got[got >= kth]  # what is below the k-th best is out for good
             places, scores = np.concatenate([places, some]), np.concatenate([scores, got])
             best = np.lexsort((x["rows"][places], x["ids"][places], -scores))[:k]
             places, scores = places[best], scores[best]
             if len(scores) == k:
                 kth = max(kth, scores[-1])
-            at, step = at + step, step * 2
+            at, step = at + step, step * 4
         keep = scores >= least[i]
         yield i, places[keep], scores[keep]
 
