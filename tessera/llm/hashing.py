@@ -47,9 +47,11 @@ _powers = _Powers()
 class Words:
     """Words of a few texts: hash of each word, byte place of each word, first word of each text."""
 
+    TABLE = WORD_BYTES  # what every byte becomes; spaces part words
+
     def __init__(self, texts: list):
         raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-        self.blob = b"\n".join(raw).translate(WORD_BYTES)
+        self.blob = b"\n".join(raw).translate(self.TABLE)
         buf = np.frombuffer(self.blob, np.uint8)
         inside = np.zeros(len(buf) + 2, np.int8)
         inside[1:-1] = buf != 32
@@ -100,10 +102,10 @@ def groups(pdf: pd.DataFrame, column: str = "text", limit: int = GROUP_BYTES) ->
             yield pdf.iloc[a:b]
 
 
-def bitmap(hashes: DataFrame, rows: int) -> tuple[np.ndarray, int]:
+def bitmap(hashes: DataFrame, rows: int, most: int = MAX_BITS) -> tuple[np.ndarray, int]:
     """Packed bitmap over the leading bits of the ``hash`` column, sized by ``rows`` (16 bits or more a row) but of
-    2^27 bits (16 MB) at most, so it may be sent to every task; built from distinct positions in chunks of 2^20."""
-    bits = int(min(MAX_BITS, max(16, np.ceil(np.log2(max(rows, 1))) + 5)))
+    2^``most`` bits (16 MB) at most, so it may be sent to every task; built from distinct positions in chunks of 2^20."""
+    bits = int(min(most, max(16, np.ceil(np.log2(max(rows, 1))) + 5)))
     place = F.shiftrightunsigned("hash", 64 - bits)
 
     def chunk(pdf: pd.DataFrame) -> pd.DataFrame:
