@@ -97,9 +97,9 @@ def corpus(seed, window):
     return texts
 
 
-@pytest.mark.parametrize("window, rounds, bits", [(5, 5, 28), (12, 3, 28), (35, 5, 28), (5, 5, 4), (12, 6, 4)])
+@pytest.mark.parametrize("window, rounds, bits", [(5, 5, 28), (12, 3, 28), (35, 5, 28), (5, 5, 9), (12, 6, 9)])
 def test_repeats_equal_plain_version(spark, window, rounds, bits):
-    """Small bitmaps are full, so that every claim is doubtful and the exact join decides."""
+    """Small filters are full, so that every claim is doubtful and the exact join decides."""
     texts = corpus(window, window)
     df = clashing(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).repartition(5)
     got = repeats.drop_repeats(df, window, rounds, bits)
@@ -109,13 +109,13 @@ def test_repeats_equal_plain_version(spark, window, rounds, bits):
     assert [rows[k] for k in range(len(texts))] == plain_repeats(texts, window)
 
 
-def test_full_bitmaps_refute_claims(spark, monkeypatch):
+def test_full_filters_refute_claims(spark, monkeypatch):
     joined, held = [], repeats._held
     monkeypatch.setattr(repeats, "_held", lambda *a: joined.append(1) or held(*a))
     rng = np.random.default_rng(8)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 9, 60)) for _ in range(40)]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
-    got = {r.doc_id: tuple(r.repeats) for r in repeats.drop_repeats(df, 4, 2, 4).collect()}
+    got = {r.doc_id: tuple(r.repeats) for r in repeats.drop_repeats(df, 4, 2, 9).collect()}
     assert joined and [got[k] for k in range(40)] == plain_repeats(texts, 4)
 
 
