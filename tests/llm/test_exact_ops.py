@@ -177,16 +177,49 @@ def test_top_k_against_brute_force(spark):
     got = defaultdict(list)
     for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 20).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
-    valid = [(i, v) for i, v in vectors if i is not None and v is not None and None not in v]
+    valid = [(i, v) for i, v in vectors if v is not None and None not in v]  # a row without an id is a candidate
     want = defaultdict(list)
     for n, (q, v) in enumerate(valid):
-        if q % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(valid) if m != n and len(w) == len(v))[:20]
+        if q is not None and q % 20 == 0:
+            scores = sorted(((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(valid) if m != n and len(w) == len(v)), key=lambda s: (s[0], s[1] is None, s[1]))[:20]
             want[q] += [(k + 1, i, -s) for k, (s, i) in enumerate(scores)]
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v}
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items() if v}
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_bounds_hold_beside_far_pivots():
+    rng = np.random.default_rng(6)
+    v = np.concatenate([rng.integers(-3, 4, (200, 5)), rng.integers(-3, 4, (200, 5)) * 100_000])
+    pivots = np.concatenate([np.zeros((1, 5)), v[390:] * 1.0])
+    p = np.sqrt(((v[:, None, :] - pivots) ** 2).sum(2))
+    assert (topk.upper_bounds({"p": p}, {"p": p}) >= v @ v.T).all()
+
+
+def test_block_pairs_are_dealt_by_the_pair(spark):
+    """No join on the vectors' length alone: it is the same for most rows."""
+    rows = spark.range(4000).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7, F.col("id") % 11).alias("v"))
+    found = topk.top_k(rows, F.col("vec_id") % 20 == 0, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(dim#\d+, x#\d+L?, q#\d+L?", plan) and "Cartesian" not in plan and "NestedLoop" not in plan
+    got = {(r.query_id, r["rank"]): r.score for r in found.collect()}
+    assert len(got) == 600
+
+
+def test_other_tokenizer_files_give_the_librarys_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, own = ids.IdEncoder(path), Tokenizer.from_file(path)
+    texts = ["Plain text, with punctuation!", "two  spaces\nand lines", "été 日本 it's 12345", "", " lead"]
+    assert not enc.cuts and ids.IdEncoder(ids.default_path()).cuts
+    assert [enc.encode(t).tolist() for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_long_runs_of_digits_are_no_address():
+    assert pii.base_spans("0" * 5000 + ".1.2.3 " + "9" * 5000 + ".1.2.3 0.0.0.0 256.1.1.1 00255.1.1.1")[0][0] == 1
+    assert len([s for s in pii.base_spans("0" * 5000 + ".1.2.3 " + "9" * 5000 + ".1.2.3 256.1.1.1") if s[0] == 1]) == 1
+
+
 def test_unusable_components_take_no_part(spark):
     df = spark.createDataFrame([(0, [1.0, float("nan")]), (20, [float("inf"), 1.0]), (40, [1.0, None]), (60, [1.0, 2.0])],
                                "vec_id long, v array<double>")
