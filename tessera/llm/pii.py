@@ -66,7 +66,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                 out.append((0, a, m.end()))
                 last = m.end()
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) < 3 or (len(p) == 3 and p <= "255") for p in (x.lstrip("0") for x in m[0].split("."))):
             out.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
