@@ -4,11 +4,13 @@ The library's full ``encode`` spends most of its time on offsets and alignment t
 pre-token alone, so texts of plain Latin characters are cut into pre-tokens here and each distinct one goes once per
 worker through the library's own BPE model. In other texts, pieces between single spaces (no pre-token spans one between two
 non-space characters: the space opens the next) go the same way if plain, else through the full ``encode``. The ids
-equal ``encode(text, add_special_tokens=False)``.
+equal ``encode(text, add_special_tokens=False)``. Files with other pre-tokens, a normalizer or another model are encoded by the
+library alone.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -43,6 +45,16 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def cuts_like_here(file: dict) -> bool:
+    """Whether the file's ids depend on the pre-tokens of ``PRE_TOKEN`` alone: byte-level with its own rule, nothing before,
+    and a model that neither drops merges at random nor marks the parts of a word."""
+    cut, model = file.get("pre_tokenizer") or {}, file["model"]
+    return (file.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+            and not cut.get("add_prefix_space", True) and model.get("type") == "BPE"
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges",
+                                               "byte_fallback")))
+
+
 class Parts(dict):
     """Pre-token -> its ids, learnt when first asked for; cleared when full."""
 
@@ -67,6 +79,7 @@ class IdEncoder:
         self.model = self.tokenizer.model
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
+        self.cuts = cuts_like_here(json.loads(self.tokenizer.to_str()))
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.parts = Parts(self._learn)
@@ -91,7 +104,7 @@ class IdEncoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
-        if any(s in text for s in self.specials):
+        if not self.cuts or any(s in text for s in self.specials):
             ids = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         elif PLAIN.fullmatch(text):
             ids = self._plain(text)
