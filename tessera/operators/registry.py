@@ -8,11 +8,15 @@ top-2 is a distributed ``orderBy().limit()``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.select import existing
-from tessera.sources.runlog import search_runs
+from tessera.session import get_text, names_in, put_new
+from tessera.sources.runlog import RunLog, latest_wide, search_runs
 from tessera.spec import ARTIFACT_CANDIDATES, CORE_METRICS, KNOWN_METRICS
 
 
@@ -76,7 +80,7 @@ def promote(registry: DataFrame, run_id_value) -> DataFrame:
     stage Production; the previous Production version becomes Archived."""
     new_version = registry.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).scalar()
     new_row = registry.sparkSession.range(1).select(new_version.cast("int").alias("version"),
-                                                    run_id_value.cast("bigint").alias("run_id"),
+                                                    run_id_value.cast(registry.schema["run_id"].dataType).alias("run_id"),
                                                     F.lit("Production").alias("stage"))
     old = registry.withColumn("stage", F.when(F.col("stage") == "Production", F.lit("Archived"))
                               .otherwise(F.col("stage")))
@@ -101,3 +105,51 @@ def best_child_per_parent(children: DataFrame, score: str, payload: list[str], p
         F.min_by(F.struct("run_id", score, *payload), key).alias("b")) \
         .select(parent, F.col("b.run_id").alias("best_run_id"), F.col("b")[score].alias("best_" + score),
                 *[F.col("b")[p].alias(p) for p in payload])
+
+
+# A shared registry ------------------------------------------------------------------------
+
+class Registry:
+    """Model versions (version, run_id, stage) in a shared folder. Every state is a Parquet table of its own, and a numbered
+    commit names it: who commits a number first has promoted, everyone else reads that state and tries the next number. So
+    each promotion sees all before it, and one version at most is in Production."""
+
+    SCHEMA = "version int, run_id string, stage string"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def read(self) -> tuple[int, DataFrame]:
+        """Number of the last commit, and its table."""
+        names = names_in(self.spark, f"{self.root}/commits")
+        if not names:
+            return 0, self.spark.createDataFrame([], self.SCHEMA)
+        path = get_text(self.spark, f"{self.root}/commits/{names[-1]}")
+        return int(names[-1]), self.spark.read.schema(self.SCHEMA).parquet(path)
+
+    def promote(self, run_id: str, attempts: int = 100) -> int:
+        """Register the run as the next version, in Production, and archive the one before; the version's number."""
+        for _ in range(attempts):
+            number, table = self.read()
+            path = f"{self.root}/states/{uuid.uuid4().hex}"
+            promote(table, F.lit(run_id)).coalesce(1).write.parquet(path)
+            if put_new(self.spark, f"{self.root}/commits/{number + 1:012d}", path):
+                return self.spark.read.schema(self.SCHEMA).parquet(path).agg(F.max("version")).first()[0]
+        raise RuntimeError(f"no commit in {attempts} attempts")
+
+
+def load_production(registry: DataFrame, log: RunLog, metric: str = "roc_auc") -> tuple[PipelineModel, dict]:
+    """The model to serve: the Production version's run, else the log's best top-level run by ``metric`` (sub-runs of a search
+    aren't served); of its artifacts the one that :func:`resolve_artifacts` picks, loaded; and where it came from."""
+    runs = log.read("runs").filter(F.col("parent_run_id").isNull()).select("run_id")
+    best = runs.join(latest_wide(log.read("run_metrics"), [metric]), "run_id", "left")
+    row = resolve_production(registry, best, metric).first()  # one row
+    if row["run_id"] is None:
+        raise LookupError("no version in Production and no run with a " + metric)
+    own = log.read("run_artifacts").filter(F.col("run_id") == row["run_id"])
+    folder = F.split_part(F.col("path"), F.lit("/"), F.lit(1)).alias("folder")
+    found = own.select("run_id", folder, "uri").join(
+        resolve_artifacts(own).select("run_id", F.col("path").alias("folder")), ["run_id", "folder"]).agg(F.min("uri").alias("uri")).first()
+    if found["uri"] is None:
+        raise LookupError(f"run {row['run_id']} has no model among its artifacts")
+    return PipelineModel.load(found["uri"]), {**row.asDict(), "uri": found["uri"]}

@@ -1,22 +1,17 @@
-"""Model training around Spark ML: the three families, cross-validated search, learning
-curves, staged loss and importances.
+"""Model training around Spark ML: the three families, learning curves, staged loss and importances.
 
-Training itself is Spark ML (distributed tree/gradient aggregation). What is added here:
-parameter mapping from the modelled project's conventions, exact stratified folds, and a
-search loop that fits each fold's preprocessing once, caches the assembled fold frames,
-then runs every parameter combination on them (optionally several fits at a time).
+Training itself is Spark ML (distributed tree/gradient aggregation). What is added here is the parameter mapping from the
+modelled project's conventions; the search over parameters and folds is in :mod:`tessera.operators.search`.
 """
 
 from __future__ import annotations
 
-import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +31,9 @@ def logistic(n_train: int, C: float = 1.0, max_iter: int = 1000, tol: float = 1e
 
 
 def forest(num_trees: int = 200, max_depth: int = 15, min_leaf: int = 3, seed: int = 42) -> RandomForestClassifier:
+    """Nodes are kept beside the rows, so a pass needs no trees sent to it, and a pass grows as many nodes as fit."""
     return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed,
-                                  featuresCol="features", labelCol="label")
+                                  cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1500, featuresCol="features", labelCol="label")
 
 
 def boosted(max_iter: int = 300, step: float = 0.05, max_depth: int = 4, subsample: float = 0.8,
@@ -81,7 +77,7 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return out.select(*keep, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("pred"))
 
 
-# Cross-validated search ----------------------------------------------------------------
+# Fold frames ---------------------------------------------------------------------------
 
 @dataclass
 class FoldData:
@@ -112,69 +108,6 @@ def release(folds: list[FoldData]) -> None:
         fd.valid.unpersist()
 
 
-def _auc_evaluator() -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", metricName="areaUnderROC",
-                                         numBins=0)
-
-
-def _scores(model, df: DataFrame) -> dict:
-    """Fold scores of one fit: counts in one aggregation, exact ROC-AUC (all thresholds)."""
-    out = model.transform(df).select(F.col("label").cast("double").alias("label"), "probability",
-                                     F.col("prediction").cast("int").alias("pred"))
-    bm = V.binary_metrics(out, []).first()
-    return {"accuracy": bm["accuracy"], "f1_macro": bm["f1_macro"], "roc_auc": _auc_evaluator().evaluate(out)}
-
-
-def cross_validate(spark: SparkSession, folds: list[FoldData], candidates: list[tuple[str, dict, object]],
-                   parallelism: int = 4) -> DataFrame:
-    """Fit every (candidate, fold) and score on the fold's validation rows.
-
-    ``candidates`` = [(name, params, classifier, or a function of the fold that makes one)]. Returns long rows
-    (candidate, fold, accuracy, f1_macro, roc_auc, fit_s). The per-fit scores are one row
-    each (a few numbers per fit), so they are gathered as a small table.
-    """
-    def run(job):
-        (name, _params, clf), fd = job
-        t0 = time.time()
-        own = clf(fd.fold) if callable(clf) else clf.copy()
-        model = own.fit(fd.train)
-        fit_s = time.time() - t0
-        s = _scores(model, fd.valid)
-        return (name, fd.fold, s["accuracy"], s["f1_macro"], s["roc_auc"], fit_s)
-
-    jobs = [(c, fd) for c in candidates for fd in folds]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = list(ex.map(run, jobs))
-    return spark.createDataFrame(rows, "candidate string, fold int, accuracy double, f1_macro double, "
-                                       "roc_auc double, fit_s double")
-
-
-def cross_validate_rounds(spark: SparkSession, folds: list[FoldData], candidates: list[tuple[dict, object]],
-                          parallelism: int = 4) -> DataFrame:
-    """Like :func:`cross_validate` for boosted trees that differ in their number of rounds only.
-
-    ``candidates`` = [({rounds: name}, classifier of the most rounds)]. Boosting adds trees one by one with the same seeds,
-    so the first n trees of a fit are the fit of n rounds: each classifier is fitted once a fold, and every number of
-    rounds is scored from the margins of its leading trees."""
-    def run(job):
-        (names, clf), fd = job
-        t0 = time.time()
-        model = clf.copy().fit(fd.train)
-        fit_s = time.time() - t0
-        out = []
-        for n, name in names.items():
-            part = leading_trees(model, n)
-            s = _scores(part, fd.valid)
-            out.append((name, fd.fold, s["accuracy"], s["f1_macro"], s["roc_auc"], fit_s * n / max(names)))
-        return out
-
-    jobs = [(c, fd) for c in candidates for fd in folds]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        rows = [r for part in ex.map(run, jobs) for r in part]
-    return spark.createDataFrame(rows, "candidate string, fold int, accuracy double, f1_macro double, "
-                                       "roc_auc double, fit_s double")
-
-
 def leading_trees(model, n: int):
     """The boosted model of the first ``n`` trees."""
     from pyspark.ml.classification import GBTClassificationModel
@@ -194,17 +127,6 @@ def leading_trees(model, n: int):
     return out
 
 
-def summarise_cv(cv: DataFrame, metric: str = "f1_macro", digits: int = 6) -> DataFrame:
-    """Mean and population std of the metric per candidate, rank by mean (ties share)."""
-    from pyspark.sql import Window
-    aggs = {"mean_" + m: F.round(F.avg(m), digits) for m in ("accuracy", "f1_macro", "roc_auc")}
-    aggs["std_" + metric] = F.round(F.stddev_pop(metric), digits)
-    aggs["n_folds"] = F.count(F.lit(1))
-    s = cv.groupBy("candidate").agg(*[v.alias(k) for k, v in aggs.items()])
-    # candidates are a handful of rows: a plain window over them is fine
-    return s.withColumn("rank", F.rank().over(Window.orderBy(F.desc("mean_" + metric))))
-
-
 def staged_loss(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Training loss after each boosting round (Spark's log-loss form: 2 log(1 + exp(-2yF)))."""
     gbt = model.stages[-1]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -87,3 +89,53 @@ def checkpointed(df):
     built without one."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Small files of a shared folder ---------------------------------------------------------
+
+_commits = threading.Lock()
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``text`` to ``path`` unless it exists; False if it does. The file appears whole: it is written aside and
+    renamed without overwriting, which shared file systems do atomically; threads of one driver take turns besides."""
+    target, fs = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    gateway, hadoop = spark.sparkContext._gateway, spark._jvm.org.apache.hadoop.fs
+    with _commits:
+        if fs.exists(target):
+            return False
+        out = fs.create(aside, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(aside, target, gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            fs.delete(aside, False)
+            return False
+    return True
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, sorted, without those being written; none if there is no folder."""
+    target, fs = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(target)) if not n.startswith(("_", ".")))
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    target, fs = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
