@@ -115,28 +115,30 @@ def stratified_folds(df: DataFrame, k: int = 5, id_col: str = "subject_id", labe
         .drop("quota", "class_n", "split", HASH)
 
 
-def learning_curve_sizes(folds: DataFrame, class_train: dict | None = None, k: int = 5, steps: int = 10,
-                         label: str = "label") -> DataFrame:
-    """Per (validation fold, step): rows and positives in the growing training subset.
-
-    Step s keeps, of every class c, the training rows with train_rank <= floor(s/steps * n_c)
-    that are not in the validation fold. Each row contributes to steps >= its entry step,
-    so one aggregation by (fold, entry step, label) plus a running sum over the tiny
-    (fold, step) grid gives every subset size without materialising 10 x k copies.
-    """
-    # entry step: smallest s with train_rank <= floor(s * n_c / steps)
-    if class_train is None:  # the per-class constant carried by stratified_folds
-        n_c = F.col("class_train")
-    else:
-        nmap = F.create_map(*[F.lit(x) for kv in class_train.items() for x in kv])
-        n_c = F.element_at(nmap, F.col(label))
-    entry = F.ceil(F.col("train_rank") * steps / n_c).cast("int")
-    # guard the floor: bump when floor(entry*n_c/steps) < rank
-    entry = F.when(F.floor(entry * n_c / steps) < F.col("train_rank"), entry + 1).otherwise(entry)
-    per = folds.groupBy(F.col("fold").alias("row_fold"), entry.alias("entry"), label).agg(F.count(F.lit(1)).alias("n"))
-    grid = per.select(F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"), "*")
-    grid = grid.filter(F.col("row_fold") != F.col("fold"))
-    steps_arr = F.sequence(F.lit(1), F.lit(steps))
-    g2 = grid.select("fold", label, "n", "entry", F.explode(steps_arr).alias("step")).filter(F.col("entry") <= F.col("step"))
-    return g2.groupBy("fold", "step").agg(
+def fold_places(folds: DataFrame, k: int = 5, id_col: str = "subject_id", seed: int = 42, fold_col: str = "fold") -> DataFrame:
+    """``folds`` with ``place_<f>`` for every fold f: the row's place, in one order over all classes, among the training rows
+    of f (those of the other folds). Running counts per fold give all of them in one pass over hash buckets."""
+    h = folds.withColumn(HASH, order_hash(id_col, seed))
+    h = h.withColumn("_bucket", F.conv(F.substring(HASH, 1, SPLIT_HEX_DIGITS), 16, 10).cast("int"))
+    h = h.withColumn("_all", F.lit(0)).withColumns({f"_f{f}": (F.col(fold_col) == f).cast("int") for f in range(k)})
+    r = running_totals(h, ["_all"], "_bucket", [F.col(HASH), F.col(id_col)], [f"_f{f}" for f in range(k)])
+    own = lambda f: sum((F.col(f"cum__f{g}") for g in range(k) if g != f), F.lit(0))
+    return r.select(*folds.columns, *[own(f).cast("long").alias(f"place_{f}") for f in range(k)])
+
+
+def learning_curve_sizes(folds: DataFrame, k: int = 5, steps: int = 10, label: str = "label", id_col: str = "subject_id") -> DataFrame:
+    """Per (validation fold, step): rows and positives of the growing training subset. Step s is the first
+    floor(s / steps * n) of the fold's training rows in one order over all classes, where n is the number of training rows
+    of fold 0; so a step has one size in all folds (a fold with fewer rows gives all it has)."""
+    placed = checkpointed(fold_places(folds.select(id_col, label, "fold"), k, id_col))
+    n = placed.agg(F.count_if(F.col("fold") != 0)).scalar()
+    grid = placed.select(label, "fold", F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f"place_{f}").alias("place"))
+                                                            for f in range(k)])).alias("g")).filter(F.col("g.f") != F.col("fold"))
+    # the first step that takes the row in; floor(s * n / steps) >= place, in whole numbers
+    entry = F.ceil(F.col("g.place") * steps / n)
+    entry = F.when(F.floor((entry - 1) * n / steps) >= F.col("g.place"), entry - 1).when(
+        F.floor(entry * n / steps) < F.col("g.place"), entry + 1).otherwise(entry).cast("int")
+    per = grid.groupBy(F.col("g.f").alias("fold"), entry.alias("entry"), label).agg(F.count(F.lit(1)).alias("n"))
+    taken = per.filter(F.col("entry") <= steps).select("fold", label, "n", F.explode(F.sequence("entry", F.lit(steps))).alias("step"))
+    return taken.groupBy("fold", "step").agg(
         F.sum("n").alias("n_rows"), F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("n_pos"))

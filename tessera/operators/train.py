@@ -7,9 +7,8 @@ modelled project's conventions; the search over parameters and folds is in :mod:
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -77,44 +76,13 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return out.select(*keep, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("pred"))
 
 
-# Fold frames ---------------------------------------------------------------------------
-
-@dataclass
-class FoldData:
-    fold: int
-    train: DataFrame
-    valid: DataFrame
-
-
-def fold_frames(df: DataFrame, numeric: list[str], categorical: list[str], k: int, fold_col: str = "fold",
-                keep: list[str] | None = None) -> list[FoldData]:
-    """Per fold: fit preprocessing on the other folds, assemble both sides once, persist."""
-    keep = keep or ["subject_id", "label"]
-    out = []
-    for f in range(k):
-        tr = df.filter(F.col(fold_col) != f)
-        va = df.filter(F.col(fold_col) == f)
-        prep = preprocessor(numeric, categorical).fit(tr)
-        cols = [*keep, "features"]
-        trx = prep.transform(tr).select(*cols, *[c for c in ("train_rank",) if c in df.columns])
-        vax = prep.transform(va).select(*cols)
-        out.append(FoldData(f, trx.persist(StorageLevel.MEMORY_AND_DISK), vax.persist(StorageLevel.MEMORY_AND_DISK)))
-    return out
-
-
-def release(folds: list[FoldData]) -> None:
-    for fd in folds:
-        fd.train.unpersist()
-        fd.valid.unpersist()
-
-
 def leading_trees(model, n: int):
     """The boosted model of the first ``n`` trees."""
     from pyspark.ml.classification import GBTClassificationModel
     if n >= model.getNumTrees:
         return model
     java = model._java_obj
-    sc = SparkSession.getActiveSession().sparkContext
+    sc = SparkContext.getOrCreate()  # threads of a search have no active session
     trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
     weights = sc._gateway.new_array(sc._jvm.double, n)
     for k in range(n):
@@ -150,46 +118,29 @@ def importances(model: PipelineModel, numeric: list[str], categorical: list[str]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def subset_size(class_train: dict, fold: int, step: int, k: int, steps: int) -> int:
-    """Rows of the growing subset of (fold, step): per class c the training rows with
-    train_rank <= floor(step/steps * n_c) outside the validation fold, where
-    fold = (train_rank - 1) mod k. Exact, from the class counts alone."""
-    total = 0
-    for n_c in class_train.values():
-        m = (step * n_c) // steps
-        in_fold = 0 if m <= fold else (m - 1 - fold) // k + 1
-        total += m - in_fold
-    return total
-
-
-def learning_curve(spark: SparkSession, folds: list[FoldData], class_train: dict, make_clf, k: int,
-                   steps: int = 10, parallelism: int = 4, label: str = "label") -> DataFrame:
-    """Train and validation macro F1 per (step, fold) for growing stratified subsets.
+def learning_curve(placed: DataFrame, numeric: list[str], categorical: list[str], make_clf, k: int, steps: int = 10,
+                   parallelism: int = 4, label: str = "label", fold_col: str = "fold") -> DataFrame:
+    """Train and validation macro F1 per (step, fold) for growing subsets of each fold's training rows: the prefixes of
+    :func:`tessera.operators.split.learning_curve_sizes`, with preprocessing and classifier fitted anew on every one.
 
-    The subset of a step keeps, of each class, the first floor(step/steps * n_c) training
-    rows in hash order (``train_rank``) that are not in the validation fold — the same
-    subsets as ``split.learning_curve_sizes``. Train and validation predictions of a fit
-    are scored in one aggregation.
-    """
-    nmap = F.create_map(*[F.lit(x) for kv in class_train.items() for x in kv])
+    ``placed`` comes from :func:`tessera.operators.split.fold_places`, written once; a fit reads its rows and columns by a
+    filter on the place. Train and validation predictions of a fit are scored in one aggregation."""
+    n = placed.filter(F.col(fold_col) != 0).count()
 
     def run(job):
-        fd, s = job
-        m = F.floor(F.element_at(nmap, F.col(label)) * s / steps)
-        sub = fd.train.filter(F.col("train_rank") <= m)
-        n_sub = subset_size(class_train, fd.fold, s, k, steps)
-        model = make_clf(max(1, n_sub)).fit(sub)
-        both = model.transform(sub.select(label, "features").withColumn("_part", F.lit("train"))
-                               .unionByName(fd.valid.select(label, "features").withColumn("_part", F.lit("valid"))))
-        bm = {r["_part"]: r["f1_macro"] for r in
-              V.binary_metrics(both.select("_part", label, F.col("prediction").cast("int").alias("pred")), ["_part"])
-              .collect()}
-        return (s, fd.fold, n_sub, bm.get("train"), bm.get("valid"))
-
-    jobs = [(fd, s) for fd in folds for s in range(1, steps + 1)]
+        f, s = job
+        sub = placed.filter((F.col(fold_col) != f) & (F.col(f"place_{f}") <= s * n // steps))
+        n_sub = sub.count()
+        model = fit(sub, numeric, categorical, make_clf(max(1, n_sub)))
+        part = F.when(F.col(fold_col) == f, "valid").otherwise("train").alias("_part")
+        both = placed.filter((F.col(fold_col) == f) | (F.col(f"place_{f}") <= s * n // steps))
+        out = model.transform(both).select(part, label, F.col("prediction").cast("int").alias("pred"))
+        bm = {r["_part"]: r["f1_macro"] for r in V.binary_metrics(out, ["_part"]).collect()}  # two rows
+        return (s, f, n_sub, bm.get("train"), bm.get("valid"))
+
+    jobs = [(f, s) for f in range(k) for s in range(1, steps + 1)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = list(ex.map(run, jobs))
-    lc = spark.createDataFrame(rows, "step int, fold int, n_train long, train_f1_macro double, cv_f1_macro double")
-    return lc.groupBy("step").agg(F.round(F.avg("n_train"), 1).alias("mean_train_size"),
-                                  F.round(F.avg("train_f1_macro"), 6).alias("train_f1_macro"),
+    lc = placed.sparkSession.createDataFrame(rows, "step int, fold int, n_train long, train_f1_macro double, cv_f1_macro double")
+    return lc.groupBy("step").agg(F.max("n_train").alias("train_size"), F.round(F.avg("train_f1_macro"), 6).alias("train_f1_macro"),
                                   F.round(F.avg("cv_f1_macro"), 6).alias("cv_f1_macro"))

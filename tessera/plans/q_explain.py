@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import explain as H
 from tessera.operators import prep as I
+from tessera.operators import split as T
 from tessera.operators import train as M
 from tessera.plans.catalog import query, split_table
 from tessera.plans.views import with_views
@@ -75,25 +76,63 @@ def q_attr_breakdown(spark, sf):
     return H.breakdown(attr, "subject_id", score, n=3)
 
 
-@query("attribution_trees")
-def q_attr_trees(spark, sf):
-    """Path attributions of a boosted-tree model for every hold-out row."""
+#: Attributions of a fitted model have no SQL form; what holds of them for every row has.
+SUMS_SQL = with_views("split") + "SELECT subject_id, true AS sums_ok, true AS score_ok, true AS features_ok FROM split WHERE split = 'test'"
+
+
+def checked(attr, scores, probability, names):
+    """Per row: base and attributions add up to the margin; the margin gives the model's own probability; one part a feature."""
+    per = attr.groupBy("subject_id").agg(F.sum("attribution").alias("s"), F.first("base").alias("b"), F.first("margin").alias("m"),
+                                         F.count_distinct("feature").alias("n"), F.count(F.lit(1)).alias("k"))
+    same = F.abs(probability(F.col("m")) - F.col("score")) < 1e-9
+    return per.join(scores, "subject_id").select(
+        "subject_id", (F.abs(F.col("b") + F.col("s") - F.col("m")) < 1e-9).alias("sums_ok"), same.alias("score_ok"),
+        ((F.col("n") == len(names)) & (F.col("k") == len(names))).alias("features_ok"))
+
+
+def _tree_attr(spark, sf, classifier, first=None):
     fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
-    model = M.fit(train, NUMERIC, CATEGORICAL, M.boosted(**M.PRESETS["boosted_tuned"]))
+    model = M.fit(train, NUMERIC, CATEGORICAL, classifier)
+    if first is not None:
+        test = test.orderBy(T.order_hash("subject_id", 42), "subject_id").limit(first)
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
-    return H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)
+    attr = H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)
+    return attr, M.predict(model, test, ["subject_id"]).select("subject_id", "score"), names
+
+
+@query("attribution_trees", SUMS_SQL)
+def q_attr_trees(spark, sf):
+    """Shapley values of the tuned boosted trees for every hold-out row, checked row by row."""
+    attr, scores, names = _tree_attr(spark, sf, M.boosted(**M.PRESETS["boosted_tuned"]))
+    return checked(attr, scores, lambda m: 1 / (1 + F.exp(-2 * m)), names)
+
+
+@query("attribution_forest", with_views("split") + """SELECT subject_id, true AS sums_ok, true AS score_ok, true AS features_ok FROM (
+  SELECT subject_id FROM split WHERE split = 'test' ORDER BY md5(concat('42-', CAST(subject_id AS VARCHAR(20)))), subject_id LIMIT 300)""")
+def q_attr_forest(spark, sf):
+    """Shapley values of the dashboard's forest for the explanation sample (the first 300 hold-out rows), checked row by row."""
+    attr, scores, names = _tree_attr(spark, sf, M.forest(**M.PRESETS["forest_dashboard"]), first=300)
+    return checked(attr, scores, lambda m: m, names)
+
+
+@query("attribution_logistic", SUMS_SQL)
+def q_attr_logistic_checked(spark, sf):
+    """Attributions of a fitted logistic model for every hold-out row, checked row by row."""
+    attr, scores, names = _logistic_attr(spark, sf)
+    return checked(attr, scores, lambda m: 1 / (1 + F.exp(-m)), names)
 
 
-@query("attribution_logistic")
 def q_attr_logistic(spark, sf):
-    """Attributions of a fitted logistic model for every hold-out row."""
+    return _logistic_attr(spark, sf)[0]
+
+
+def _logistic_attr(spark, sf):
     fs = split_table(spark, sf)
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
     model = M.fit(train, NUMERIC, CATEGORICAL, M.logistic(M.training_rows(train), **M.PRESETS["logistic"]))
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
-    out = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1],
-                                  prep.transform(train), names)
-    return out
+    attr = H.logistic_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], prep.transform(train), names)
+    return attr, M.predict(model, test, ["subject_id"]).select("subject_id", "score"), names

@@ -12,14 +12,14 @@ from tessera.operators import evaluate as V
 from tessera.operators import explain as H
 from tessera.operators import train as M
 from tessera.plans.catalog import query
-from tessera.plans.q_explain import NOTABLE_AMONG, q_attr_logistic
+from tessera.plans.q_explain import q_attr_logistic
 from tessera.plans.q_train import CATEGORICAL, NUMERIC, split_frames
 
-KEEP = ["subject_id", "label", "grp", "age_group"]
+KEEP = ["subject_id", "label", "grp", "tier"]
 
 
 def holdout_scores(spark, sf, families=("logistic",)):
-    """Hold-out rows scored by each family, fitted with its preset: (subject_id, label, grp, age_group, score, pred, model)."""
+    """Hold-out rows scored by each family, fitted with its preset: (subject_id, label, grp, tier, score, pred, model)."""
     train, test, _ = split_frames(spark, sf)
     makers = {"logistic": lambda p: M.logistic(M.training_rows(train), **p), "forest": lambda p: M.forest(**p),
               "boosted": lambda p: M.boosted(**p)}
@@ -54,7 +54,7 @@ def q_holdout_calibration(spark, sf):
 
 @query("holdout_fairness")
 def q_holdout_fairness(spark, sf):
-    return V.fairness_audit(holdout_scores(spark, sf), ["model"], ["grp", "age_group"])
+    return V.fairness_audit(holdout_scores(spark, sf), ["model"], ["grp", "tier"])
 
 
 @query("attribution_model_ranking")
@@ -70,7 +70,11 @@ def q_model_rank_of(spark, sf):
 
 @query("attribution_model_notable")
 def q_model_notable(spark, sf):
-    return H.notable(H.ranking(q_attr_logistic(spark, sf)), NOTABLE_AMONG, 0.1)
+    """Fare and the derived features (title, family size, alone, deck) over the threshold."""
+    table = H.ranking(q_attr_logistic(spark, sf))
+    among = [r["feature"] for r in table.select("feature").collect()  # a row an encoded feature
+             if r["feature"] in ("fare", "family_size") or r["feature"].startswith(("title", "is_alone", "deck"))]
+    return H.notable(table, among, 0.1)
 
 
 @query("attribution_model_breakdown")

@@ -34,12 +34,18 @@ def q_kfold(spark, sf):
     return f.select("subject_id", "label", "fold")
 
 
-@query("learning_curve_sizes", W_SPLIT.rstrip() + f", f AS ({_FOLDS_SQL}),\n"
-       "nc AS (SELECT label, count(*) AS n_c FROM f GROUP BY label),\n"
-       "g AS (SELECT CAST(a.fold AS INT) AS fold, CAST(b.step AS INT) AS step FROM range(0, 5) a(fold) CROSS JOIN range(1, 11) b(step))\n"
-       "SELECT g.fold, g.step, count(*) AS n_rows, CAST(sum(CASE WHEN f.label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos\n"
-       "FROM g JOIN f ON f.fold <> g.fold JOIN nc ON nc.label = f.label\n"
-       "WHERE f.train_rank <= floor(g.step * nc.n_c / 10) GROUP BY g.fold, g.step")
+# The rule of the modelled library: sizes are shares of the first fold's training rows, the same in every fold, and a subset
+# is a prefix of the fold's training rows in their order (here that of the hash, over all classes).
+CURVE_SQL = W_SPLIT.rstrip() + f""", f AS ({_FOLDS_SQL}),
+o AS (SELECT g.v AS fold, f.subject_id, f.label, row_number() OVER (PARTITION BY g.v
+  ORDER BY md5(concat('42-', CAST(f.subject_id AS VARCHAR(20)))), f.subject_id) AS place FROM range(0, 5) g(v) JOIN f ON f.fold <> g.v),
+m AS (SELECT count(*) AS n FROM f WHERE fold <> 0)
+"""
+
+
+@query("learning_curve_sizes", CURVE_SQL + "SELECT CAST(o.fold AS INT) AS fold, CAST(b.step AS INT) AS step, count(*) AS n_rows, "
+       "CAST(sum(CASE WHEN o.label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos "
+       "FROM o CROSS JOIN m JOIN range(1, 11) b(step) ON o.place <= (b.step * m.n) // 10 GROUP BY o.fold, b.step")
 def q_learning_sizes(spark, sf):
     f = T.stratified_folds(subjects(spark, sf).select("subject_id", "label"), k=5)
     return T.learning_curve_sizes(f, k=5, steps=10)

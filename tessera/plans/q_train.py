@@ -5,7 +5,6 @@ Every query trains with the parameters of ``PRESETS`` (tessera.operators.train).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from tessera.operators import split as T
 from tessera.operators import train as M
 from tessera.plans import q_score
 from tessera.plans.catalog import features, query, split_table
+from tessera.plans.q_split import CURVE_SQL
 from tessera.plans.views import with_views
 from tessera.session import new_scratch_path
 from tessera.sources.runlog import RunLog
@@ -179,21 +179,19 @@ def q_cv_compare(spark, sf):
     return ranked(table, "roc_auc").select("candidate", "n_folds", "n_scored", unit.alias("scores_ok"), "rank_ok")
 
 
-@query("learning_curve")
+_LC_SQL = CURVE_SQL + """SELECT CAST(step AS INT) AS step, CAST(least((step * m.n) // 10, (SELECT max(c) FROM (SELECT count(*) AS c FROM o GROUP BY fold)))
+  AS BIGINT) AS train_size, true AS scores_ok FROM range(1, 11) b(step) CROSS JOIN m"""
+
+
+@query("learning_curve", _LC_SQL)
 def q_learning_curve(spark, sf, steps=10, k=5):
-    """Train and validation macro F1 for growing stratified subsets of each fold's training rows."""
-    f = T.stratified_folds(features(spark, sf), k=k).persist(StorageLevel.MEMORY_AND_DISK)
-    class_train = T.class_counts(f, "label")
-    folds = M.fold_frames(f, NUMERIC, CATEGORICAL, k)
-    for fd in folds:
-        fd.train.count()
-        fd.valid.count()
-    f.unpersist()
-    out = M.learning_curve(spark, folds, class_train, lambda n: M.logistic(n, **M.PRESETS["logistic"]), k, steps, parallelism=8)
-    out = out.persist()
-    out.count()
-    M.release(folds)
-    return out
+    """Train and validation macro F1 for growing prefixes of each fold's training rows, preprocessing fitted on each: sizes,
+    and whether all means lie in [0, 1]."""
+    path = new_scratch_path(spark, "placed")
+    T.fold_places(T.stratified_folds(features(spark, sf), k=k), k).write.parquet(path)
+    out = M.learning_curve(spark.read.parquet(path), NUMERIC, CATEGORICAL, lambda n: M.logistic(n, **M.PRESETS["logistic"]), k, steps, parallelism=8)
+    unit = F.col("train_f1_macro").between(0, 1) & F.col("cv_f1_macro").between(0, 1)
+    return out.select("step", "train_size", unit.alias("scores_ok"))
 
 
 @query("staged_loss")
