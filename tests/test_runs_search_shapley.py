@@ -198,3 +198,13 @@ def test_curve_prefixes_are_those_of_the_order(spark):
         want |= {(f, s): (len(own[: s * n // 7]), sum(own[: s * n // 7])) for s in range(1, 8)}
     got = {(r.fold, r.step): (r.n_rows, r.n_pos) for r in T.learning_curve_sizes(folds, k=3, steps=7).collect()}
     assert got == want
+
+
+def test_learning_curve_fits_each_prefix(spark, frames):
+    path = new_scratch_path(spark, "placed")
+    T.fold_places(frames[0], 3).write.parquet(path)
+    placed = spark.read.parquet(path)
+    rows = M.learning_curve(placed, NUM, CAT, lambda n: M.logistic(n, max_iter=5), 3, steps=2, parallelism=4).orderBy("step").collect()
+    n = placed.filter("fold <> 0").count()
+    assert [(r.step, r.train_size) for r in rows] == [(1, n // 2), (2, n)]
+    assert all(0 <= r.train_f1_macro <= 1 and 0 <= r.cv_f1_macro <= 1 for r in rows)
