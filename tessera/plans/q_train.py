@@ -122,13 +122,11 @@ def boosted_candidates():
                         rounds=n, shares=(lr, d)) for n in M.GRID_ROUNDS for lr in M.GRID_RATES for d in M.GRID_DEPTHS]
 
 
-_RANK_OK = F.col("rank") == 1 + F.expr("size(filter(every, x -> x > m))")
-
-
 def ranked(table, score):
     """Whether every rank is one more than the number of better means; the means come as one array (a row a candidate)."""
     every = table.agg(F.collect_list(f"mean_{score}")).scalar()
-    return table.withColumn("every", every).withColumn("m", F.col(f"mean_{score}")).withColumn("rank_ok", _RANK_OK)
+    return table.withColumn("every", every).withColumn("m", F.col(f"mean_{score}")).withColumn(
+        "rank_ok", F.col("rank") == 1 + F.expr("size(filter(every, x -> x > m))"))
 
 
 _GRID_SQL = with_views("split") + """, s AS (SELECT CAST(count_if(split = 'train') AS BIGINT) AS a, CAST(count_if(split = 'test') AS BIGINT) AS b FROM split)
