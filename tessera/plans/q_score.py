@@ -82,27 +82,51 @@ def q_score_verdict(spark, sf):
 _STANDIN = dict((m, (k, lift)) for m, k, lift in fixtures.STANDIN_MODELS)["logistic"]
 
 
-@query("stream_score", with_views("subjects", "features").rstrip() + ",\n" + ",\n".join([_REQ, _VALID, _DEFAULTS]) +
-       f""",
+_STREAM_SQL = with_views("subjects", "features").rstrip() + ",\n" + ",\n".join([_REQ, _VALID, _DEFAULTS]) + \
+    f""",
 sc AS (SELECT d.subject_id, d.title, d.age_group, d.port, d.grp,
   CAST((d.subject_id * {_STANDIN[0]}) % (101 - {_STANDIN[1]}) + {_STANDIN[1]} * s.label AS DOUBLE) / 100 AS score
   FROM d JOIN subjects s ON d.subject_id = s.subject_id)
 SELECT subject_id, title, age_group, port, grp, round(score, 4) AS probability, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS pred,
-  CASE WHEN score >= 0.5 THEN 'Survived' ELSE 'Did not survive' END AS verdict FROM sc""")
+  CASE WHEN score >= 0.5 THEN 'Survived' ELSE 'Did not survive' END AS verdict FROM sc"""
+
+
+@query("stream_score", _STREAM_SQL)
 def q_stream_score(spark, sf):
     """Orders arrive as a file stream; each micro-batch joins the static customer table,
     derives the request, validates, fills defaults and scores. Output = batch result."""
-    orders = score_stream.file_stream(spark, table_path(sf, "orders").replace("orders.parquet", "orders*.parquet"),
-                                      fixtures.ORDER_SCHEMA)
+    return score_stream.run_available(spark, order_stream(spark, sf),
+                                      lambda s: stand_in_scores(X.valid_rows(stream_requests(spark, sf, s), rules())), name="stream_score")
+
+
+def order_stream(spark, sf, max_files_per_trigger=None):
+    return score_stream.file_stream(spark, table_path(sf, "orders").replace("orders.parquet", "orders*.parquet"),
+                                    fixtures.ORDER_SCHEMA, max_files_per_trigger)
+
+
+def stream_requests(spark, sf, orders):
+    """Score requests of orders as they arrive, each with its customer's group."""
     customer = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
+    s = fixtures.subjects_from(orders.select(*fixtures.ORDER_COLS), customer)
+    return s.select("subject_id", "label", "tier", "grp", "age", "sibsp", "parch", "fare", "port",
+                    FF.title_mapped("full_name", PRESET_A).alias("title"))
 
-    def transform(stream):
-        s = fixtures.subjects_from(stream.select(*fixtures.ORDER_COLS), customer)
-        req = s.select("subject_id", "label", "tier", "grp", "age", "sibsp", "parch", "fare", "port",
-                       FF.title_mapped("full_name", PRESET_A).alias("title"))
-        d = X.apply_defaults(X.valid_rows(req, rules()), PRESET_A, mode="derive")
-        k, lift = _STANDIN
-        score = ((F.col("subject_id") * k) % (101 - lift) + lift * F.col("label")).cast("double") / 100
-        return d.select("subject_id", "title", "age_group", "port", "grp", *X.verdict(score))
 
-    return score_stream.run_available(spark, orders, transform, name="stream_score")
+def stand_in_scores(valid):
+    d = X.apply_defaults(valid, PRESET_A, mode="derive")
+    k, lift = _STANDIN
+    score = ((F.col("subject_id") * k) % (101 - lift) + lift * F.col("label")).cast("double") / 100
+    return d.select("subject_id", "title", "age_group", "port", "grp", *X.verdict(score))
+
+
+@query("stream_rejects", _STREAM_SQL.rsplit("SELECT", 1)[0].rstrip() + ",\nrej AS (SELECT subject_id, concat_ws(',', " +
+       ", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in _RULES_SQL) + f""") AS reasons FROM req WHERE NOT ({VALID_WHERE}))
+SELECT subject_id, 'scored' AS sink, round(score, 4) AS probability,
+  CASE WHEN score >= 0.5 THEN 'Survived' ELSE 'Did not survive' END AS outcome FROM sc
+UNION ALL SELECT subject_id, 'rejected', NULL, reasons FROM rej""")
+def q_stream_rejects(spark, sf):
+    """The same stream with a table for scored and one for rejected rows: every order lands in exactly one of them."""
+    split = score_stream.checked_parts(rules(), stand_in_scores)
+    t = score_stream.run_available_parts(spark, order_stream(spark, sf), lambda b: split(stream_requests(spark, sf, b)), name="stream_rejects")
+    scored_rows = t["scored"].select("subject_id", F.lit("scored").alias("sink"), "probability", F.col("verdict").alias("outcome"))
+    return scored_rows.union(t["rejected"].select("subject_id", F.lit("rejected"), F.lit(None).cast("double"), "reasons"))
