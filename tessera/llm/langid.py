@@ -4,7 +4,9 @@ The vocabulary is that of a public sentence-piece file (only its pieces are used
 probability for every piece; the probability of a word (lower-cased, with the word mark in front) is the sum over all its
 segmentations into pieces of the product of their probabilities, by the forward algorithm. Words are runs of letters. A
 text's score is the sum of its words' log-probabilities plus the language's share of all training documents, and the answer
-the language with the highest posterior. A character that is no piece is spelt by its byte pieces.
+the language with the highest posterior. A character that is no piece is spelt by its byte pieces. Pieces and words of any
+length count; a word of over ``LONG`` letters is scored from left to right with the sums of its last places, so its memory
+doesn't grow with its length (in training alone, it teaches in parts of ``LONG`` letters).
 
 Training: words are counted by language over at most ``TRAIN_DOCS`` documents of each language, those first by a hash of
 doc_id (partial counts before the shuffle); piece probabilities are then estimated by ``ROUNDS`` rounds of expectation-maximisation: forward-backward gives each
@@ -36,8 +38,10 @@ MARK = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 TRAIN_DOCS = 5000
 CACHE_WORDS, CACHE_NUMBERS = 600_000, 8_000_000
-MAX_PIECE = 12
-LONG_WORD = 64
+KEPT_WORD = 64  # longer words aren't kept between batches
+LONG = 2000
+LATTICE_CHARS, LATTICE_NUMBERS = 256_000, 8_000_000
+ORDER_BUCKETS = 1 << 14
 FLOOR = 1e-9
 
 
@@ -47,7 +51,7 @@ def default_path() -> str:
 
 
 class Vocabulary:
-    """Pieces of at most ``MAX_PIECE`` characters by a 64-bit hash of their characters, and the byte pieces."""
+    """Pieces by a 64-bit hash of their characters, the length of the longest, and the byte pieces."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -59,9 +63,10 @@ class Vocabulary:
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(piece[1:-1], 16)] = i
-            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and len(piece) <= MAX_PIECE:
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces.append(piece)
                 number.append(i)
+        self.longest = max(map(len, pieces))
         hashes = np.empty(len(pieces), np.uint64)
         for k, piece in enumerate(pieces):
             h = np.zeros(1, np.uint64)
@@ -103,11 +108,8 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def text_words(text: str) -> list[str]:
-    """Lower-cased runs of letters; a long one comes in parts, which bounds a word's table."""
-    words = LETTERS.findall(text.lower())
-    if len(max(words, key=len, default="")) > LONG_WORD:
-        words = [w[k: k + LONG_WORD] for w in words for k in range(0, len(w), LONG_WORD)]
-    return words
+    """Lower-cased runs of letters."""
+    return LETTERS.findall(text.lower())
 
 
 class Lattice:
@@ -124,8 +126,10 @@ class Lattice:
         room = self.length[word] - place  # characters from here to the word's end
         h, parts = np.zeros(len(chars), np.uint64), []
         at = np.arange(len(chars))
-        for size in range(1, MAX_PIECE + 1):
+        for size in range(1, vocab.longest + 1):
             at = at[room[at] >= size]
+            if not len(at) and size > 1:
+                break
             h[at] = step(h[at], chars[at + size - 1])
             piece = vocab.find(h[at])
             if size == 1:
@@ -198,6 +202,56 @@ def log_sums(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndar
     return group[first], np.log(sums) + most
 
 
+def word_groups(words: list[str], languages: int) -> Iterator[list[int]]:
+    """Places of the words, shortest first, in groups whose lattices are of bounded size."""
+    group, order = [], sorted(range(len(words)), key=lambda k: len(words[k]))
+    for k in order:
+        chars = (len(group) + 1) * (len(words[k]) + 2)
+        if group and (chars > LATTICE_CHARS or chars * languages > LATTICE_NUMBERS):
+            yield group
+            group = []
+        group.append(k)
+    if group:
+        yield group
+
+
+def long_total(word: str, vocab: Vocabulary, log_p: np.ndarray, chunk: int = LONG) -> np.ndarray:
+    """(language) log-probability of one word, ``chunk`` start places at a time; the sums of the places that later pieces
+    start from, at most a longest piece away, go from one chunk to the next."""
+    chars = code_points(MARK + word)
+    sums = np.full((vocab.longest, len(log_p)), -np.inf)
+    sums[0] = 0
+    for first in range(0, len(chars), chunk):
+        n = min(chunk, len(chars) - first)
+        sums = np.concatenate([sums, np.full((n, len(log_p)), -np.inf)])
+        h, found = np.zeros(n, np.uint64), np.full((vocab.longest, n), -1, np.int64)
+        for size in range(1, vocab.longest + 1):
+            at = np.arange(min(n, len(chars) - first - size + 1))
+            h[at] = step(h[at], chars[first + at + size - 1])
+            found[size - 1, at] = vocab.find(h[at])
+        for a in range(n):
+            sizes = np.flatnonzero(found[:, a] >= 0)
+            sums[a + 1 + sizes] = np.logaddexp(sums[a + 1 + sizes], sums[a] + log_p[:, found[sizes, a]].T)
+            if found[0, a] < 0:
+                spelt = vocab.bytes[list(chr(int(chars[first + a])).encode("utf-8", "surrogatepass"))]
+                sums[a + 1] = np.logaddexp(sums[a + 1], sums[a] + log_p[:, spelt].sum(1))
+        sums = sums[n:]
+    return sums[0]
+
+
+def word_totals(words: list[str], vocab: Vocabulary, log_p: np.ndarray) -> np.ndarray:
+    """(word, language) log-probability of words of any length."""
+    out = np.empty((len(words), len(log_p)))
+    short = [k for k, w in enumerate(words) if len(w) <= LONG]
+    for k, w in enumerate(words):
+        if len(w) > LONG:
+            out[k] = long_total(w, vocab, log_p)
+    for group in word_groups([words[k] for k in short], len(log_p)):
+        at = [short[k] for k in group]
+        out[at] = Lattice([words[k] for k in at], vocab).totals(log_p)
+    return out
+
+
 class Model:
     """Languages (sorted), log prior of each, and log-probabilities (language, piece)."""
 
@@ -228,10 +282,17 @@ def fit_languages(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS
     path = path or default_path()
     spark = docs.sparkSession
     known = docs.filter("text is not null and lang is not null").withColumn("_order", F.xxhash64("doc_id"))
-    first = F.row_number().over(W.partitionBy("lang").orderBy("_order"))  # only the first rows of a language are shuffled
-    last = known.select("lang", "_order").withColumn("_n", first).filter(F.col("_n") <= train_docs).groupBy("lang").agg(
-        F.max("_order").alias("_last"))
-    sample = known.join(F.broadcast(last), "lang").filter("_order <= _last")  # a row a language
+    # Per language, the bucket of hashes that its last training row lies in: counts are summed before the shuffle, and only
+    # the rows of that one bucket are ranked.
+    bucket = F.shiftright("_order", 64 - ORDER_BUCKETS.bit_length() + 1).alias("_bucket")
+    upto = F.sum("_n").over(W.partitionBy("lang").orderBy("_bucket"))
+    cut = (known.groupBy("lang", bucket).agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", upto)
+           .filter(F.col("_upto") - F.col("_n") < train_docs).groupBy("lang").agg(
+               F.max("_bucket").alias("_cut"), F.max(F.col("_upto") - F.col("_n")).alias("_before")))
+    hashes = known.select("lang", "_order", bucket).join(F.broadcast(cut), "lang").filter("_bucket = _cut")  # a row a language
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("_order"))
+    last = hashes.withColumn("_n", nth + F.col("_before")).filter(F.col("_n") <= train_docs).groupBy("lang").agg(F.max("_order").alias("_last"))
+    sample = known.join(F.broadcast(last), "lang").filter("_order <= _last")
     counts = written(word_counts(sample), "word-counts")
     shares = known.groupBy("lang").count().toPandas().sort_values("lang")
     languages = shares["lang"].tolist()  # a row a language
@@ -247,16 +308,20 @@ def fit_languages(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS
         def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names, current = sent.value
             vocab, sums = vocabulary(path), np.zeros((len(names), size))
+            number = {x: k for k, x in enumerate(names)}
             for pdf in batches:
-                lattice = Lattice(pdf["word"].tolist(), vocab)
-                lang = pdf["lang"].map({x: k for k, x in enumerate(names)}).to_numpy()
-                n = pdf["n"].to_numpy(np.float64)
-                word, piece = lattice.arcs[:, 0], lattice.arcs[:, 3]
-                use = lattice.expected(current)[np.arange(len(word)), lang[word]] * n[word]
-                known = piece >= 0
-                np.add.at(sums, (lang[word[known]], piece[known]), use[known])
-                for k in np.flatnonzero(~known):
-                    np.add.at(sums, (lang[word[k]], lattice.spelt[-1 - piece[k]]), use[k])
+                rows = [(w[k: k + LONG], number[lang], n) for w, lang, n in zip(pdf["word"], pdf["lang"], pdf["n"])
+                        for k in range(0, len(w), LONG)]
+                words, langs, ns = zip(*rows) if rows else ((), (), ())
+                for group in word_groups(words, len(names)):
+                    lattice = Lattice([words[k] for k in group], vocab)
+                    lang, n = np.array(langs)[group], np.array(ns, np.float64)[group]
+                    word, piece = lattice.arcs[:, 0], lattice.arcs[:, 3]
+                    use = lattice.expected(current)[np.arange(len(word)), lang[word]] * n[word]
+                    known = piece >= 0
+                    np.add.at(sums, (lang[word[known]], piece[known]), use[known])
+                    for k in np.flatnonzero(~known):
+                        np.add.at(sums, (lang[word[k]], lattice.spelt[-1 - piece[k]]), use[k])
             at = np.nonzero(sums)
             yield pd.DataFrame({"lang": at[0], "piece": at[1], "use": sums[at]})
 
@@ -285,20 +350,24 @@ class Scorer:
         if len(self.place) + len(new) > self.limit:
             self.place, self.table = {}, self.table[:0]
             new = list(words)
-        new.sort(key=len)  # words of like length fill a lattice evenly
-        parts = [Lattice(new[k: k + 4000], self.vocab).totals(self.model.log_p) for k in range(0, len(new), 4000)]
+        part = word_totals(new, self.vocab, self.model.log_p)
         for w in new:
             self.place[w] = len(self.place)
-        self.table = np.concatenate([self.table, *parts]).astype(np.float32)
+        self.table = np.concatenate([self.table, part]).astype(np.float32)
 
     def posteriors(self, texts: list[str]) -> np.ndarray:
         """(text, language)."""
         lists = [text_words(t) for t in texts]
-        self.learn({w for words in lists for w in words})
+        rare = sorted({w for words in lists for w in words if len(w) > KEPT_WORD})
+        self.learn({w for words in lists for w in words if len(w) <= KEPT_WORD})
+        totals = dict(zip(rare, word_totals(rare, self.vocab, self.model.log_p)))
         logs = np.tile(self.model.prior, (len(texts), 1))
         for k, words in enumerate(lists):
-            if words:
-                logs[k] += self.table[list(map(self.place.__getitem__, words))].sum(0, dtype=np.float64)
+            kept = [self.place[w] for w in words if len(w) <= KEPT_WORD]
+            if kept:
+                logs[k] += self.table[kept].sum(0, dtype=np.float64)
+            if len(kept) < len(words):
+                logs[k] += sum(totals[w] for w in words if len(w) > KEPT_WORD)
         logs -= logs.max(1, keepdims=True)
         p = np.exp(logs)
         return p / p.sum(1, keepdims=True)

@@ -219,9 +219,9 @@ def test_lattice_against_plain_forward():
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i): i for i in range(model.get_piece_size())
               if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
-    pieces = {p: i for p, i in pieces.items() if len(p) <= langid.MAX_PIECE}
+    assert vocab.longest == max(map(len, pieces)) > 12
     log_p = np.log(np.random.default_rng(0).dirichlet(np.ones(vocab.size), 3))
-    words = ["hello", "ungeheuer", "ñandú", "日本", "x", "straße", "a🙂b"]
+    words = ["hello", "ungeheuer", "ñandú", "日本", "x", "straße", "a🙂b", "relationship", "relationships" * 30]
 
     def plain(word):
         marked = langid.MARK + word
@@ -238,12 +238,28 @@ def test_lattice_against_plain_forward():
 
     lattice = langid.Lattice(words, vocab)
     assert np.allclose(lattice.totals(log_p), [plain(w) for w in words])
+    assert np.allclose(langid.word_totals(words, vocab, log_p), [plain(w) for w in words])
+    for chunk in (1, 7, 2000):
+        assert np.allclose([langid.long_total(w, vocab, log_p, chunk) for w in words], [plain(w) for w in words])
+    endless = "relationship日" * 200
+    assert len(endless) > langid.LONG and np.allclose(langid.word_totals(["a", endless], vocab, log_p)[1], plain(endless))
     use = lattice.expected(log_p)  # every character of a word is used once
     covered = np.zeros((len(words), 3))
     np.add.at(covered, lattice.arcs[:, 0], use * (lattice.arcs[:, 2] - lattice.arcs[:, 1])[:, None])
     assert np.allclose(covered, lattice.length[:, None])
 
 
+def test_training_rows_are_the_first_by_hash(spark):
+    """One language holds most rows; the model of a bounded sample equals that of exactly these rows."""
+    rows = [(i, f"{'abcdefghijkl'[i % 12] * 3} {'xyz'[i % 3] * 4}", "big" if i % 7 else "small") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    first = {i for lang in ("big", "small") for i in sorted((r[0] for r in rows if r[2] == lang), key=order.get)[:40]}
+    some = langid.fit_languages(docs, train_docs=40)
+    same = langid.fit_languages(spark.createDataFrame([r for r in rows if r[0] in first], docs.schema), train_docs=1000)
+    assert some.languages == same.languages == ["big", "small"] and np.allclose(some.log_p, same.log_p)
+
+
 def test_language_held_out_and_edges(spark, edge):
     d = "/root/testdata/sf0.001"
     docs = read(spark, d, "documents", "doc_id", "lang")
@@ -254,6 +270,8 @@ def test_language_held_out_and_edges(spark, edge):
     assert model.languages == ["de", "en"]
     got = [(r.doc_id, r.lang_pred) for r in langid.predict_languages(edge, model).collect()]
     assert len(got) == len(EDGE) and all((p == "und") == (i in (3, 1, 4)) for i, p in got)
+    runs = spark.createDataFrame([(1, "hello" * 2000), (2, "welt" * 2000), (3, "hello" * 2000)], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predict_languages(runs, model).orderBy("doc_id").collect()] == ["en", "de", "en"]
     none = langid.fit_languages(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert {r.lang_pred for r in langid.predict_languages(edge, none).collect()} == {"und"}
 
