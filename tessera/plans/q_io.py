@@ -6,7 +6,7 @@ from tessera.operators import evaluate as V
 from tessera.plans.catalog import query, scored, subjects
 from tessera.plans.views import with_views
 from tessera.session import new_scratch_path
-from tessera.sources.csv import read_csv, write_csv
+from tessera.sources.csv import inferred_types, read_csv, read_text_columns, write_csv
 
 SUBJECT_SCHEMA = ("subject_id bigint, label int, tier int, grp string, full_name string, age double, sibsp int, "
                   "parch int, fare double, cabin string, port string")
@@ -22,6 +22,31 @@ def q_csv_scan(spark, sf):
     return read_csv(spark, path, SUBJECT_SCHEMA)
 
 
+_COLUMNS = [c.split()[0] for c in SUBJECT_SCHEMA.split(", ")]
+_TYPE_SQL = """SELECT '{c}' AS col_name, CASE WHEN count(*) = 0 THEN 'string' WHEN count(v) = 0 THEN 'double'
+  WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) THEN CASE WHEN count(v) = count(*) THEN 'bigint' ELSE 'double' END
+  WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+[.]?[0-9]*(e[+-]?[0-9]+)?')) THEN 'double'
+  WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS type,
+  count(*) - count(v) AS n_null FROM (SELECT CAST({c} AS VARCHAR) AS v FROM subjects)"""
+
+
+@query("csv_infer_types", with_views("subjects") + "\nUNION ALL ".join(_TYPE_SQL.format(c=c) for c in _COLUMNS))
+def q_csv_infer(spark, sf):
+    """Types of the labelled table's CSV columns, inferred from all their texts in one pass."""
+    path = new_scratch_path(spark, "subjects-csv")
+    write_csv(subjects(spark, sf), path, CSV_NULLS)
+    return inferred_types(read_text_columns(spark, path))
+
+
+@query("csv_scan_inferred", with_views("subjects") + "SELECT * REPLACE (CAST(label AS BIGINT) AS label, CAST(tier AS BIGINT) AS tier, "
+       "CAST(sibsp AS BIGINT) AS sibsp, CAST(parch AS BIGINT) AS parch) FROM subjects")
+def q_csv_scan_inferred(spark, sf):
+    """The labelled table's CSV read without a declared schema."""
+    path = new_scratch_path(spark, "subjects-csv")
+    write_csv(subjects(spark, sf), path, CSV_NULLS)
+    return read_csv(spark, path)
+
+
 @query("fairness_csv_roundtrip", with_views("scored") + """SELECT model, CASE WHEN grouping(grp) = 0 THEN concat('grp_', grp)
   ELSE concat('tier_', CAST(tier AS VARCHAR)) END AS subgroup,
   CASE WHEN count(*) = 0 THEN 0.0 ELSE CAST(count_if(label = pred) AS DOUBLE) / count(*) END AS accuracy,

@@ -2,34 +2,86 @@
 
 Read: every column as text first (``escape='"'`` so a doubled quote is a quote), map the
 NA tokens to null, then ``try_cast`` to the declared type — the tokens must be nulled
-*before* the cast, or ``'NaN'`` would become a floating NaN.
+*before* the cast, or ``'NaN'`` would become a floating NaN. Without a declared schema the
+types are inferred from all values in one aggregation, with the outcomes that pandas has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 from tessera.spec import NA_TOKENS
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, na_tokens: list[str] | None = None,
+# Values that are whole numbers, numbers and truth values to the type inference.
+WHOLE = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+TRUTH = ["True", "TRUE", "true", "False", "FALSE", "false"]
+
+
+def _without_tokens(name: str, tokens: list[str]) -> Column:
+    c = F.col(f"`{name}`")
+    return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
+
+
+def inferred_types(text: DataFrame, na_tokens: list[str] | None = None) -> DataFrame:
+    """(col_name, type, n_null) of a table of texts: one pass over it, partial results merged, a row a column.
+
+    Whole numbers are ``bigint``, beyond its range ``decimal(20,0)`` if all fit 64 bits without a sign, else ``string``; a
+    missing value among whole numbers makes them ``double``; numbers and columns without any value are ``double``; truth
+    values, missing ones among them or not, are ``boolean``; anything else, and every column of a table without rows, is
+    ``string``."""
+    tokens = NA_TOKENS if na_tokens is None else na_tokens
+
+    def facts(name: str) -> Column:
+        value = _without_tokens(name, tokens)
+        t = F.trim(value)
+        whole, wide = t.rlike(WHOLE), t.try_cast("decimal(20,0)")
+
+        def every(c: Column) -> Column:  # null when the column has no value
+            return F.bool_and(F.when(value.isNotNull(), F.coalesce(c, F.lit(False))))
+
+        return F.struct(F.lit(name).alias("col_name"), F.count(F.lit(1)).alias("n"), F.count(value).alias("present"),
+                        every(whole).alias("whole"), every(whole & t.try_cast("bigint").isNotNull()).alias("narrow"),
+                        every(whole & wide.between(0, F.lit(str(2**64 - 1)).cast("decimal(20,0)"))).alias("wide"),
+                        every(t.rlike(NUMBER)).alias("number"), every(value.isin(*TRUTH)).alias("truth"))
+
+    if not text.columns:
+        return text.sparkSession.createDataFrame([], "col_name string, type string, n_null long")
+    all_present = F.col("n") == F.col("present")
+    kind = (F.when(F.col("n") == 0, "string").when(F.col("present") == 0, "double")
+            .when(F.col("narrow"), F.when(all_present, "bigint").otherwise("double"))
+            .when(F.col("whole"), F.when(F.col("wide") & all_present, "decimal(20,0)").otherwise("string"))
+            .when(F.col("number"), "double").when(F.col("truth"), "boolean").otherwise("string"))
+    return text.agg(F.array(*[facts(c) for c in text.columns]).alias("f")).select(F.inline("f")).select(
+        "col_name", kind.alias("type"), (F.col("n") - F.col("present")).alias("n_null"))
+
+
+def read_text_columns(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file or folder with a header, every value as text."""
+    return spark.read.options(header=True, escape='"', multiLine=multi_line, mode="FAILFAST").csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, na_tokens: list[str] | None = None,
              multi_line: bool = False) -> DataFrame:
-    """Columns are found by their header name, in any order. ``multi_line`` reads quoted line feeds, at the cost that
-    a file is then read by one task. A value that its column's type can't hold raises."""
-    if isinstance(schema, str):
-        schema = _parse_datatype_string(schema)
+    """Columns are found by their header name, in any order. Without ``schema`` all columns are read, their types inferred
+    from all values. ``multi_line`` reads quoted line feeds, at the cost that a file is then read by one task. A value that
+    its column's type can't hold raises."""
     tokens = NA_TOKENS if na_tokens is None else na_tokens
+    raw = read_text_columns(spark, path, multi_line)
+    if schema is None:
+        found = inferred_types(raw, tokens).collect()  # a row a column
+        schema = StructType([StructField(r["col_name"], _parse_datatype_string(r["type"]), True) for r in found])
+    elif isinstance(schema, str):
+        schema = _parse_datatype_string(schema)
     text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-    options = {"header": True, "escape": '"', "multiLine": multi_line, "mode": "FAILFAST"}
-    raw = spark.read.options(**options).csv(path)
     if not set(text.names) <= set(raw.columns):
         raise ValueError(f"no columns {sorted(set(text.names) - set(raw.columns))} in {path}")
     cols = []
     for f in schema.fields:
-        c = F.col(f.name)
-        nulled = F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
+        nulled = _without_tokens(f.name, tokens)
         cols.append(nulled.alias(f.name) if isinstance(f.dataType, StringType)
                     else nulled.cast(f.dataType).alias(f.name))
     return raw.select(*cols)
