@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.spec import AGE_EDGES, TITLE_DEFAULT, TITLE_PATTERN, FeatureSpec
+from tessera.spec import AGE_EDGES, SPEC_MARK, TITLE_DEFAULT, TITLE_PATTERN, FeatureSpec, fingerprint
 
 
 def _c(x) -> Column:
@@ -85,7 +85,7 @@ def fare_per_person(fare="fare", size=None) -> Column:
 
 
 def feature_frame(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """All derived features of a spec in one projection; raw-only columns are dropped."""
+    """All derived features of a spec in one projection, marked with its fingerprint; raw-only columns are dropped."""
     s = spec
     derived = {
         "title": title_mapped(s.name_col, s),
@@ -97,4 +97,5 @@ def feature_frame(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     if s.fare_per_person:
         derived["fare_per_person"] = fare_per_person(s.fare_col, family_size(s.sibsp_col, s.parch_col))
     keep = [c for c in df.columns if c not in s.drop]
-    return df.select(*keep, *[v.alias(k) for k, v in derived.items()])
+    mark = {SPEC_MARK: fingerprint(spec)}
+    return df.select(*keep, *[v.alias(k, metadata=mark) for k, v in derived.items()])

@@ -9,18 +9,19 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as V
+from tessera.operators import guard as N
 from tessera.operators import registry as R
 from tessera.operators import score as X
 from tessera.operators import search as G
 from tessera.operators import split as T
 from tessera.operators import train as M
 from tessera.plans import q_score
-from tessera.plans.catalog import features, query, split_table
+from tessera.plans.catalog import features, features_b, query, split_table
 from tessera.plans.q_split import CURVE_SQL
 from tessera.plans.views import with_views
 from tessera.session import new_scratch_path
 from tessera.sources.runlog import RunLog
-from tessera.spec import PRESET_A
+from tessera.spec import PRESET_A, fingerprint
 from tessera.streaming import score_stream
 
 NUMERIC = list(PRESET_A.numeric)
@@ -226,6 +227,25 @@ def q_roundtrip(spark, sf):
     return a.join(b, "subject_id").select("subject_id", same.alias("same"))
 
 
+@query("spec_guard", with_views("split") + "SELECT subject_id, true AS same, true AS kept, true AS refused FROM split WHERE split = 'test'")
+def q_spec_guard(spark, sf):
+    """A pipeline saved with its feature spec and loaded: it scores rows of its spec as before and refuses those of the other."""
+    model, _, test = fit_logistic(spark, sf)
+    path = new_scratch_path(spark, "guarded")
+    N.guarded(model, PRESET_A).write().save(path)
+    loaded = PipelineModel.load(path)
+    try:
+        loaded.transform(features_b(spark, sf))
+        refused = False
+    except N.SpecMismatch:
+        refused = True
+    kept = N.spec_guard(loaded).kept()["fingerprint"] == fingerprint(PRESET_A)
+    a = M.predict(model, test, ["subject_id"]).select("subject_id", F.col("score").alias("direct"))
+    b = M.predict(loaded, test, ["subject_id"])
+    return a.join(b, "subject_id").select("subject_id", (F.abs(F.col("score") - F.col("direct")) < 1e-12).alias("same"),
+                                          F.lit(kept).alias("kept"), F.lit(refused).alias("refused"))
+
+
 @query("batch_score")
 def q_batch_score(spark, sf):
     model, _, test = fit_logistic(spark, sf)

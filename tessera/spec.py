@@ -7,7 +7,9 @@ rules, the default) and ``PRESET_B`` (the dashboard variant).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import json
+from dataclasses import asdict, dataclass, field
 
 # ---------------------------------------------------------------------------------------
 # Fixed values (must equal the modelled project's rules for equal results).
@@ -136,3 +138,11 @@ PRESET_B = FeatureSpec(
     fare_per_person=True,
     numeric=("age", "fare", "sibsp", "parch", "family_size", "fare_per_person"),
 )
+
+#: Metadata key of derived columns: the fingerprint of the spec that made them.
+SPEC_MARK = "feature_spec"
+
+
+def fingerprint(spec: FeatureSpec) -> str:
+    """Digest of everything a spec says; equal specs have equal ones in every process."""
+    return hashlib.sha256(json.dumps(asdict(spec), sort_keys=True).encode()).hexdigest()[:32]
