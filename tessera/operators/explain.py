@@ -59,6 +59,8 @@ def logistic_attributions(df: DataFrame, id_col: str, features_col: str, lr_mode
 
 def tree_tables(spark: SparkSession, ensemble_model) -> tuple[dict, list[float]]:
     """Node arrays per tree from the saved ensemble (model-sized, gathered once)."""
+    if not hasattr(ensemble_model, "treeWeights"):
+        raise TypeError(f"no tree ensemble: {type(ensemble_model).__name__}")
     path = new_scratch_path(spark, "trees")
     ensemble_model.write().overwrite().save(path)
     nodes = spark.read.parquet(path + "/data").select(
