@@ -33,14 +33,16 @@ class Adam:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, learns, rows: int, chars: int) -> pd.DataFrame:
     """(text, y) of at most ``rows`` labelled documents that ``learns`` (a condition on doc_id) admits, of which no text
-    is longer than ``chars``: those first by a hash of doc_id and label, so the choice is the same at every partitioning.
-    Documents with a null text or label don't teach. Only ids and labels are joined and ranked; then the chosen ids, of
-    which there are ``rows`` at most, are sent to the scan that reads their texts."""
+    is longer than ``chars``: those first by a hash of doc_id and label, in that order, so sample and order are the same at
+    every partitioning. Documents with a null text or label don't teach; of several texts under one id the smallest does.
+    Only ids and labels are joined and ranked; then the chosen ids, of which there are ``rows`` at most, are sent to the
+    scan that reads their texts, and the driver puts the rows in order."""
     known = labels.filter(F.col(target).isNotNull()).select("doc_id", F.col(target).cast("int").alias("y")).distinct()
     some = docs.select("doc_id", "text").filter("text is not null").filter(learns).filter(F.length("text") <= chars)
     ranked = some.select("doc_id").join(known, "doc_id").distinct().withColumn("_order", F.xxhash64("doc_id", "y"))
-    chosen = ranked.orderBy("_order", "doc_id", "y").limit(rows).select("doc_id", "y")
-    return some.join(F.broadcast(chosen), "doc_id").select("text", "y").limit(rows).toPandas()
+    chosen = ranked.orderBy("_order", "doc_id", "y").limit(rows)
+    texts = some.join(F.broadcast(chosen), "doc_id").groupBy("_order", "doc_id", "y").agg(F.min("text").alias("text"))
+    return texts.toPandas().sort_values(["_order", "doc_id", "y"], ignore_index=True)[["text", "y"]]
 
 
 def learns(parts: int, held: int):

@@ -303,3 +303,33 @@ def test_roles_are_recovered_and_rendered(spark):
     out = chat.rendered(spark.createDataFrame([("User: hi", "user", True, False), ("go on", "user", False, False), ("[AI] yes", "assistant", True, True)],
                                               "line string, role string, opens boolean, closes boolean")).collect()
     assert [r.text for r in out] == ["<|user|>\nhi", "go on", "<|end|>\n<|assistant|>\nyes"]
+
+
+def test_labelled_samples_depend_on_the_rows_alone(spark):
+    """Repeated ids give one row each, and any partitioning the same rows in the same order."""
+    from tessera.llm.learning import labelled_sample
+    rows = [(k % 5000, f"text {k % 7000}") for k in range(9000)] + [(3, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5000)] + [(7, 0), (8, None)], "doc_id long, toxic int")
+    for count in (40, 400, 9000):
+        got = [labelled_sample(docs.repartition(p), labels.repartition(p), "toxic", F.lit(True), count, 100).values.tolist()
+               for p in (1, 7)]
+        assert got[0] == got[1] and len(got[0]) == min(count, 5001)
+
+
+@pytest.mark.parametrize("fit, target", [(toxicity.fit_toxicity, "toxic"), (quality.fit_quality, "quality")])
+def test_scores_do_not_depend_on_the_partitioning(spark, fit, target):
+    docs = read(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
+    labels = read(spark, "/root/testdata/sf0.01", "labels", "doc_id", target)
+    texts = [r.text for r in docs.limit(50).collect()]
+    score = (lambda m: m.document_scores(texts)) if target == "toxic" else (lambda m: m.scores(texts))
+    got = [score(fit(docs.repartition(p), labels.repartition(p))) for p in (1, 7)]
+    assert np.allclose(got[0], got[1], atol=1e-6)
+
+
+def test_few_words_stay_near_the_labelled_share():
+    model = quality.BagModel()
+    model.prior = 0.8
+    model.p["out_b"][:] = -4  # all texts look bad
+    short, long = model.scores(["", "Too short."]), model.scores(["Too short. " * 50])
+    assert short[0] == pytest.approx(0.8) and 0.3 < short[1] < 0.8 and long[0] < 0.05
