@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.operators import evaluate as V
 from tessera.plans.catalog import query, scored, subjects
 from tessera.plans.views import with_views
@@ -22,6 +24,15 @@ def q_csv_scan(spark, sf):
     return read_csv(spark, path, SUBJECT_SCHEMA)
 
 
+@query("csv_scan_multiline", with_views("subjects") + "SELECT * REPLACE (replace(full_name, ', ', ',' || chr(10)) AS full_name) FROM subjects")
+def q_csv_multiline(spark, sf):
+    """The labelled table as CSV with line feeds inside its names, read back in byte ranges."""
+    path = new_scratch_path(spark, "subjects-csv")
+    broken = F.replace(F.col("full_name"), F.lit(", "), F.lit(",\n"))
+    write_csv(subjects(spark, sf).withColumn("full_name", broken), path, CSV_NULLS)
+    return read_csv(spark, path, SUBJECT_SCHEMA, multi_line=True)
+
+
 _COLUMNS = [c.split()[0] for c in SUBJECT_SCHEMA.split(", ")]
 _TYPE_SQL = """SELECT '{c}' AS col_name, CASE WHEN count(*) = 0 THEN 'string' WHEN count(v) = 0 THEN 'double'
   WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) THEN CASE WHEN count(v) = count(*) THEN 'bigint' ELSE 'double' END
