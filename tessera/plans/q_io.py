@@ -8,6 +8,7 @@ from tessera.operators import evaluate as V
 from tessera.plans.catalog import query, scored, subjects
 from tessera.plans.views import with_views
 from tessera.session import new_scratch_path
+from tessera.sources.tables import table_path
 from tessera.sources.csv import inferred_types, read_csv, read_text_columns, write_csv
 
 SUBJECT_SCHEMA = ("subject_id bigint, label int, tier int, grp string, full_name string, age double, sibsp int, "
@@ -33,6 +34,14 @@ def q_csv_multiline(spark, sf):
     return read_csv(spark, path, SUBJECT_SCHEMA, multi_line=True)
 
 
+@query("csv_scan_texts", "SELECT doc_id, nullif(text, '') AS text, lang, source FROM documents")
+def q_csv_texts(spark, sf):
+    """Whole texts, line feeds and quotes among them, written as CSV and read back in byte ranges."""
+    path = new_scratch_path(spark, "texts-csv")
+    write_csv(spark.read.parquet(table_path(sf, "documents")).select("doc_id", "text", "lang", "source"), path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string, source string", na_tokens=[], multi_line=True)
+
+
 _COLUMNS = [c.split()[0] for c in SUBJECT_SCHEMA.split(", ")]
 _TYPE_SQL = """SELECT '{c}' AS col_name, CASE WHEN count(*) = 0 THEN 'string' WHEN count(v) = 0 THEN 'double'
   WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+')) THEN CASE WHEN count(v) = count(*) THEN 'bigint' ELSE 'double' END

@@ -136,9 +136,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def write_csv(df: DataFrame, path: str, null_tokens: dict[str, str] | None = None) -> None:
-    """Write with a header and RFC-4180 quoting; ``null_tokens`` spells nulls per column."""
+    """Write with a header and RFC-4180 quoting, values with their outer blanks; ``null_tokens`` spells nulls per column."""
     null_tokens = null_tokens or {}
     out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(null_tokens[c])).alias(c) if c in null_tokens
                       else F.col(c) for c in df.columns])
     (out.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"')
-     .option("emptyValue", "").csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(path))

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.sources.csv import quoted_records, read_csv, read_text_columns
+from tessera.sources.csv import quoted_records, read_csv, read_text_columns, write_csv
 
 
 def folder(files):
@@ -89,3 +89,12 @@ def test_lines_are_shuffled_by_range_once(spark, ranges):
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
     assert final.count("ENSURE_REQUIREMENTS") >= 2 and "SinglePartition" not in final and "ReusedExchange" in final
+
+
+def test_texts_written_and_read(spark, ranges):
+    texts = [" outer blanks ", "a\nb", 'quote " and, comma', '"', "\n", "\\", '\\"', "x\r\ny", "tab\t", "'", "#", "\u2028"]
+    path = tempfile.mkdtemp(prefix="tessera-csv-") + "/t"
+    write_csv(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), path)
+    ranges(16)
+    back = read_csv(spark, path, "id long, text string", na_tokens=[], multi_line=True)
+    assert [r.text for r in back.orderBy("id").collect()] == texts
