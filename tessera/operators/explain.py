@@ -112,8 +112,8 @@ def leaf_paths(t: dict) -> dict:
         stack += [(t["left"][node], [*path, (node, True)]), (t["right"][node], [*path, (node, False)])]
     depth = max(1, max(len(p) for _, p in found))
     shape = (len(found), depth)
-    nodes, goes, place = np.zeros(shape, np.int64), np.zeros(shape, bool), np.full(shape, -1)
-    feature, share = np.full(shape, -1), np.ones(shape)
+    nodes, goes, place = np.zeros(shape, np.int32), np.zeros(shape, bool), np.full(shape, -1, np.int16)
+    feature, share = np.full(shape, -1, np.int32), np.ones(shape)
     for k, (_, path) in enumerate(found):
         own: dict[int, int] = {}
         for j, (node, to_left) in enumerate(path):

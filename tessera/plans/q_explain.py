@@ -11,6 +11,7 @@ from tessera.operators import split as T
 from tessera.operators import train as M
 from tessera.plans.catalog import query, split_table
 from tessera.plans.views import with_views
+from tessera.session import checkpointed
 from tessera.spec import PRESET_A
 
 NUMERIC = list(PRESET_A.numeric)
@@ -95,7 +96,8 @@ def _tree_attr(spark, sf, classifier, first=None):
     train, test = fs.filter(F.col("split") == "train"), fs.filter(F.col("split") == "test")
     model = M.fit(train, NUMERIC, CATEGORICAL, classifier)
     if first is not None:
-        test = test.orderBy(T.order_hash("subject_id", 42), "subject_id").limit(first)
+        test = checkpointed(test.orderBy(T.order_hash("subject_id", 42), "subject_id").limit(first))
+    test = M.spread(test)
     prep = PipelineModel(stages=model.stages[:-1])
     names = I.encoded_names(prep, NUMERIC, CATEGORICAL)
     attr = H.tree_attributions(prep.transform(test), "subject_id", "features", model.stages[-1], names)

@@ -26,7 +26,7 @@ def holdout_scores(spark, sf, families=("logistic",)):
     out = None
     for name in families:
         model = M.fit(train, NUMERIC, CATEGORICAL, makers[name](M.PRESETS[name]))
-        scored = M.predict(model, test, KEEP).withColumn("model", F.lit(name))
+        scored = M.predict(model, M.spread(test) if name == "forest" else test, KEEP).withColumn("model", F.lit(name))
         out = scored if out is None else out.unionByName(scored)
     return out
 
