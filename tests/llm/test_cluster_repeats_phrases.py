@@ -207,6 +207,32 @@ def test_intervals_count_every_phrase():
         assert (firsts(index.before)[p[1]] == p[0][:, 0]).all() and (firsts(index.behind)[p[2]] == p[0][:, -1]).all()
 
 
+def test_suffixes_are_sorted_once(monkeypatch):
+    """Symbols that fit one number are sorted in one go; too many kinds for that are ranked by doubling; both order alike."""
+    rng = np.random.default_rng(4)
+    t = np.append(rng.integers(0, 5, 300), 0).astype(np.int32)
+    cut = lambda x, a: next((tuple(x[a: a + k].tolist()) for k in (1, 2) if x[a + k - 1] == 0), tuple(x[a: a + 3].tolist()))
+    inner = np.array([k for k in range(300) if t[k] > 0])
+    sorts, own = [], np.unique
+    monkeypatch.setattr(phrases.np, "unique", lambda *a, **k: sorts.append(1) or own(*a, **k))
+    few = phrases.transform(t, 3)
+    assert not sorts
+    many = phrases.transform(t * (1 << 22), 3)  # 3 symbols of 25 bits
+    assert sorts and sorted(few.tolist()) == sorted(t.tolist()) and sorted((many >> 22).tolist()) == sorted(t.tolist())
+    firsts = sorted(cut(t, int(a)) for a in range(301))  # suffixes by their first 3 symbols, in order
+    for got in (few, many >> 22):
+        for first in {cut(t, int(a)) for a in inner}:
+            low, n = firsts.index(first), firsts.count(first)
+            assert sorted(got[low: low + n].tolist()) == sorted(int(t[a - 1]) for a in range(301) if cut(t, a) == first)
+    assert phrases.transform(np.zeros(0, np.int32), 3).size == 0
+
+
+def test_extensions_of_one_side_leave_the_other():
+    index = phrases.Index.of(np.array([1, 2, 1, 2, 0], np.int32), 3, 3)
+    index.at_end(index.words())
+    assert "longer" in vars(index.behind) and "longer" not in vars(index.before)
+
+
 def test_scores_of_large_counts_are_exact(spark):
     big = 3_000_000_017
     words = spark.createDataFrame([("g", "a", big + 2), ("g", "b", big + 5)], "group string, phrase string, f long")
