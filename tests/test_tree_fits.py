@@ -23,6 +23,26 @@ def test_partitions_follow_rows(spark, monkeypatch):
     assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.count() == 120
 
 
+def test_many_rows_come_in_even_waves(spark, monkeypatch):
+    """One partition more than the cores made a second wave of tasks, and their number followed the rows."""
+    monkeypatch.setattr(M, "ROWS_A_PARTITION", 10)
+    monkeypatch.setattr(M, "MOST_A_PARTITION", 50)
+    cores = spark.sparkContext.defaultParallelism
+    for n, parts in ((10 * cores, cores), (10 * cores + 1, cores), (50 * cores, cores), (50 * cores + 1, 2 * cores)):
+        got = M.in_waves(_rows(spark, n, 3), n)
+        sizes = got.rdd.glom().map(len).collect()
+        assert len(sizes) == parts and sum(sizes) == n
+        assert n <= 10 * cores or max(sizes) <= 2 * n / parts
+    few = spark.range(20).select(F.col("id").alias("subject_id"), (F.col("id") % 2).cast("int").alias("label"), F.lit(1.0).alias("x"),
+                                 F.lit("a").alias("c"))
+    prep = M.preprocessor(["x"], ["c"]).fit(few)
+    rows, n = M.assembled(prep, few)
+    assert (rows.rdd.getNumPartitions(), n) == (2, 20)
+    many = spark.range(10 * cores + 1).select(F.col("id").alias("subject_id"), F.lit(1).alias("label"), F.lit(1.0).alias("x"), F.lit("a").alias("c"))
+    rows, n = M.assembled(prep, many)
+    assert (rows.rdd.getNumPartitions(), n) == (cores, 10 * cores + 1)
+
+
 def test_trees_are_fitted_on_sized_rows(spark, monkeypatch):
     seen, own = [], M.fit_classifier
     monkeypatch.setattr(M, "fit_classifier", lambda clf, rows: seen.append(rows.rdd.getNumPartitions()) or own(clf, rows))
