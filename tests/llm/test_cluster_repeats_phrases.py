@@ -274,3 +274,15 @@ def test_scores_of_large_counts_are_exact(spark):
 def test_collocations_of_nothing(spark):
     assert phrases.collocations(spark.createDataFrame([], "text string, lang string")).count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None), ("", "en")], "text string, lang string")).count() == 0
+
+
+def test_an_index_takes_few_bytes_a_word():
+    """Each row's suffix took 24 bytes a word, in shards of 6 MB; workers went over their memory on a large table."""
+    symbols = np.random.default_rng(0).integers(0, 5000, 200_000).astype(np.int32)
+    side = phrases.Side(symbols, 5000)
+    tracemalloc.start()
+    longer = side.longer
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak * phrases.SHARD_BYTES <= 18 * len(symbols) * (4 << 20)
+    assert longer.tolist() == np.argsort(np.argsort(symbols, kind="stable"), kind="stable").tolist()
