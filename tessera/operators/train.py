@@ -122,8 +122,9 @@ def fit_classifier(classifier, rows: DataFrame):
     each other, as many at once as keep the cores busy."""
     if boost.supported(classifier, rows):
         return boost.fit(classifier, rows)
-    if forests.supported(classifier, rows):
-        return forests.fit(classifier, rows)
+    grown = forests.fit(classifier, rows) if forests.supported(classifier, rows) else None
+    if grown is not None:
+        return grown
     trees = classifier.getNumTrees() if isinstance(classifier, RandomForestClassifier) else 0
     if trees < 2 * FOREST_PARTS:  # a part of one tree would be grown without resampling
         return classifier.fit(rows)

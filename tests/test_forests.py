@@ -15,8 +15,8 @@ from test_boost import frame
 class Every:
     """Random numbers that draw every row once."""
 
-    def poisson(self, share, n):
-        return np.ones(n)
+    def poisson(self, number):
+        return number
 
     def random(self, shape, kind):
         return np.zeros(shape, kind)
@@ -28,11 +28,17 @@ def test_a_tree_is_that_of_spark(spark):
     plain = clf.fit(rows)
     coding = B.learned_coding(rows, 800, 32, 42, set(B.binary_slots(rows)))
     (made, wrong), = B.packed(rows, coding, 42, 1).collect()
-    tree = R.grown(made.codes, made.y > 0, coding, B.Rules(5, 3, 0.0), 8, 1.0, Every())
+    tree = R.grown(made.codes, made.y > 0, np.ones(800), coding, B.Rules(5, 3, 0.0), 8, 1.0, Every())
     own = R.node_batch(tree, coding, 0).to_pandas()["nodeData"]
     path = H.new_scratch_path(spark, "tree")
     plain.write().save(path)
     theirs = spark.read.parquet(f"{path}/data").orderBy("id").collect()
+    twice = spark.sparkContext.parallelize([(made, wrong), (made, wrong), (None, wrong)], 3)
+    held = [x for _, x in R.distinct(twice, coding, 4).collect()]
+    codes, y, n = (np.concatenate([x[k] for x in held], -1) for k in range(3))
+    assert n.sum() == 1600 and len(n) == len(set(map(bytes, np.vstack([codes, y]).T))) < 800
+    again = R.node_batch(R.grown(codes, y, n / 2, coding, B.Rules(5, 3, 0.0), 8, 1.0, Every()), coding, 0)
+    assert again.to_pandas()["nodeData"].map(str).tolist() == own.map(str).tolist()  # rows of equal codes as one
     assert not wrong and len(own) == len(theirs) == plain.numNodes
     for a, b in zip(own, theirs):
         split = b["split"]
@@ -76,5 +82,5 @@ def test_rows_beyond_a_task_and_odd_labels_are_sparks(spark, monkeypatch):
     clf = M.forest(num_trees=3, max_depth=3)
     monkeypatch.setattr(R, "LEAST_ROWS", 100)
     assert R.supported(clf, rows) and not R.supported(clf, rows.filter("label = 1"))
-    monkeypatch.setattr(R, "ROWS_IN_A_TASK", 200)
-    assert not R.supported(clf, rows)
+    monkeypatch.setattr(R, "ROWS_IN_A_TASK", 20)
+    assert R.fit(clf, rows) is None and M.fit_classifier(clf, rows).getNumTrees == 3
