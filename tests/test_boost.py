@@ -35,7 +35,7 @@ def shape(model):
 def test_trees_are_those_of_spark(spark, share):
     rows = frame(spark, 700)
     clf = M.boosted(max_iter=6, step=0.1, max_depth=3, subsample=share)
-    own, plain = M.fit_classifier(clf, rows), clf.fit(rows)
+    own, plain = M.fit_classifier(clf, rows, few=True), clf.fit(rows)
     assert shape(own) == shape(plain)
     assert np.allclose(own.evaluateEachIteration(rows), plain.evaluateEachIteration(rows), atol=1e-12)
     assert np.allclose(own.featureImportances.toArray(), plain.featureImportances.toArray(), atol=1e-9)
@@ -49,7 +49,7 @@ def test_boosting_needs_no_job_a_round(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("boosting", "", False)
     try:
-        M.fit_classifier(M.boosted(max_iter=40, max_depth=3), rows)
+        M.fit_classifier(M.boosted(max_iter=40, max_depth=3), rows, few=True)
         assert len(tracker.getJobIdsForGroup("boosting")) < 30
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
